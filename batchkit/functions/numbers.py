@@ -46,26 +46,20 @@ def share(part: Column, total: Column) -> Column:
 
 
 def two_places(x: Column) -> Column:
-    """Text of a double in [0, 1e6] with two places, rounded as C's ``%.2f``.
+    """Text of a double in [0, 1e12] with two places, rounded as C's ``%.2f``.
 
     ``format_string`` rounds the shortest decimal form half up. C, Python and SQL engines round the
-    binary value itself, ties to even, so 2.675 gives 2.67 and 0.125 gives 0.12. Scaling by a power
-    of two is exact, hence the value is taken apart into whole units of 2**-60 and rounded there.
+    binary value itself, ties to even, so 2.675 gives 2.67 and 0.125 gives 0.12. The product with 100
+    can look like a tie only by rounding; its exact error, from the two halves of ``x``, decides then.
     """
-    unit = F.expr("cast(1152921504606846976 as decimal(38,0))")  # 2**60
-    high = F.floor(x * F.lit(float(2**20)))
-    low = F.floor((x * F.lit(float(2**20)) - high) * F.lit(float(2**40)))
-    units = (high.cast("decimal(38,0)") * F.lit(2**40) + low).cast("decimal(38,0)") * F.lit(100)
-    units = units.cast("decimal(38,0)")
-    cents = F.call_function("div", units, unit)
-    rest = (units - cents * unit).cast("decimal(38,0)") * F.lit(2)
-    up = (rest > unit) | ((rest == unit) & (cents % 2 == 1))
-    cents = cents + F.when(up, 1).otherwise(0)
-    return F.concat(
-        F.floor(cents / 100).cast("bigint").cast("string"),
-        F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
+    product = x * F.lit(100.0)
+    high = x.cast("float").cast("double")
+    error = (high * F.lit(100.0) - product) + (x - high) * F.lit(100.0)
+    false_tie = (product - F.floor(product) == F.lit(0.5)) & (error != 0)
+    cents = F.when(false_tie, F.floor(product) + F.when(error > 0, 1).otherwise(0)).otherwise(
+        F.rint(product).cast("bigint")
     )
+    return (cents.cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)").cast("string")
 
 
 def percent_text(part: Column, total: Column) -> Column:

@@ -150,7 +150,7 @@ def cells_of(table: DataFrame, family: str = "cf") -> DataFrame:
     named = table.select(
         KEY,
         *[
-            (F.decode(F.col(f.name), F.lit("UTF-8")) if isinstance(f.dataType, T.BinaryType) else F.col(f.name).cast("string"))
+            (F.decode(F.col(f.name), "UTF-8") if isinstance(f.dataType, T.BinaryType) else F.col(f.name).cast("string"))
             .alias(f"{family}:{f.name}")
             for f in table.schema.fields
             if f.name != KEY

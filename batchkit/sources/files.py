@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchkit.functions.text import digest
 
 
+def _below(path: str) -> Column:
+    """The file's path below the folder that was asked for."""
+    return F.substring_index("path", f"{path.rstrip('/')}/", -1).alias("name")
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: name, size and time of change. The content is never read."""
+    """One row per file: name, size and time of change. The content is never read.
+
+    Spark's file scan leaves out files of length 0.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
         .select(
-            F.element_at(F.split("path", "/"), -1).alias("name"),
+            _below(path),
             F.col("length").alias("size_bytes"),
             F.col("modificationTime").alias("modified"),
         )
@@ -33,7 +41,7 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .load(path)
         .select(
-            F.element_at(F.split("path", "/"), -1).alias("name"),
+            _below(path),
             F.col("length").alias("size_bytes"),
             digest(F.col("content")).alias("sha256"),
         )

@@ -20,6 +20,19 @@ def connect(sf_dir: str):
     return connection
 
 
+# DuckDB type names by the name of the Spark type; decimals have the same name in both.
+DUCKDB_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def _cell(value):
     if isinstance(value, float) and math.isnan(value):
         return "NaN"
@@ -36,6 +49,9 @@ def _rows(columns, rows):
 def assert_same(df, connection, sql: str) -> int:
     cursor = connection.execute(sql)
     expected_columns = [d[0] for d in cursor.description]
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    for name, kind in df.dtypes:
+        assert DUCKDB_TYPES.get(kind, kind.upper()) == types[name], f"type of {name}: {kind} against {types[name]}"
     expected = cursor.fetchall()
     assert sorted(df.columns) == sorted(expected_columns)
     actual = [tuple(row) for row in df.collect()]
