@@ -1,4 +1,4 @@
-"""Order queries. Orders are read as text rows (order_id, user_id, amount), as from their CSV files."""
+"""Order queries over rows (order_id, user_id, amount), typed as the table has them or as text."""
 
 from __future__ import annotations
 
@@ -14,8 +14,8 @@ from batchkit.sources.csv import text_scan, write_csv
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").alias("amount"),
     )
 
@@ -53,7 +53,7 @@ faulty AS (
 
 @query(
     """
-    SELECT cast(o_custkey AS varchar) AS user_id, count(*) AS order_count,
+    SELECT o_custkey AS user_id, count(*) AS order_count,
            cast(round_even(sum(cast(o_totalprice AS decimal(28,10))), 2) AS decimal(38,2)) AS total_amount
     FROM orders GROUP BY o_custkey
     """

@@ -19,35 +19,49 @@ BAD_AMOUNT = "amount_invalid"
 NEGATIVE = "amount_negative"
 
 
-def _amount(df: DataFrame) -> Column:
-    if isinstance(df.schema["amount"].dataType, T.StringType):
-        return to_amount(F.col("amount"))
-    return F.col("amount").try_cast(AMOUNT_TYPE)
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
+def _identifier(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """The identifier, trimmed if it is text, and whether it is empty."""
+    if _is_text(df, name):
+        return strip_or_empty(F.col(name)), F.col(name) == ""
+    return F.col(name), F.col(name).isNull()
+
+
+def _amount_reason(text: bool) -> Column:
+    """NULL for a valid amount, which is tested first: it is the common case.
+
+    A numeric column is tested as it is, so the scan can use the test. Its bounds are what the exact
+    type holds; NaN, which Spark takes for the largest number, is beyond them.
+    """
+    if text:
+        amount = F.col("amount")
+        valid, negative = amount >= 0, amount < 0
+    else:
+        number, bound = F.col("amount_source"), F.lit(1e28)
+        valid, negative = (number >= 0) & (number < bound), (number < 0) & (number > -bound)
+    return F.when(valid, F.lit(None)).when(negative, F.lit(NEGATIVE)).otherwise(F.lit(BAD_AMOUNT))
 
 
 def tag_rejects(df: DataFrame) -> DataFrame:
     """Add ``reason``, the first rule a row breaks (NULL if it is valid), and make the amount exact.
 
-    ``amount`` becomes ``decimal(38,10)``; the text it came from is kept as ``amount_text``. Infinite
-    and not-a-number amounts are invalid. An amount of zero is valid.
+    ``amount`` becomes ``decimal(38,10)``; what it came from is kept as ``amount_source``. Infinite
+    and not-a-number amounts are invalid. An amount of zero is valid. Text identifiers are trimmed,
+    others keep their type.
     """
-    checks = []
+    text = _is_text(df, "amount")
+    order_id, no_order = _identifier(df, "order_id")
+    user_id, no_user = _identifier(df, "user_id")
+    checks = [(no_order, NO_ORDER), (no_user, NO_USER)]
     if EXTRA_CELLS in df.columns:
-        checks.append((F.col(EXTRA_CELLS), EXTRA))
-    checks += [
-        (F.col("order_id") == "", NO_ORDER),
-        (F.col("user_id") == "", NO_USER),
-        (F.col("amount").isNull(), BAD_AMOUNT),
-        (F.col("amount") < 0, NEGATIVE),
-    ]
-    reason = F.coalesce(*[F.when(condition, F.lit(name)) for condition, name in checks])
+        checks.insert(0, (F.col(EXTRA_CELLS), EXTRA))
+    reason = F.coalesce(*[F.when(broken, F.lit(name)) for broken, name in checks], _amount_reason(text))
+    amount = to_amount(F.col("amount")) if text else F.col("amount").try_cast(AMOUNT_TYPE)
     return df.withColumns(
-        {
-            "order_id": strip_or_empty(F.col("order_id").cast("string")),
-            "user_id": strip_or_empty(F.col("user_id").cast("string")),
-            "amount_text": F.col("amount").cast("string"),
-            "amount": _amount(df),
-        }
+        {"order_id": order_id, "user_id": user_id, "amount_source": F.col("amount"), "amount": amount}
     ).withColumn("reason", reason)
 
 
@@ -112,7 +126,7 @@ def user_summary(tagged: DataFrame, dedup: bool = False) -> DataFrame:
 def summary_text(summary: DataFrame) -> DataFrame:
     """The summary as text in its fixed column order, sorted by user in code-point order."""
     return summary.select(
-        "user_id",
+        F.col("user_id").cast("string").alias("user_id"),
         F.col("order_count").cast("string").alias("order_count"),
         money_text(F.col("total_amount")).alias("total_amount"),
     ).orderBy("user_id")

@@ -58,7 +58,7 @@ def run_daily(
     write_csv(text, target, single_file)
     if keep_rejects:
         write_csv(
-            rejects(tagged).select("order_id", "user_id", "amount_text", "reason"),
+            rejects(tagged).select("order_id", "user_id", "amount_source", "reason"),
             f"{base}/result/{key}/rejects",
         )
 

@@ -44,7 +44,7 @@ def test_reasons(tagged):
 
 def test_rejects_keep_the_record(tagged):
     record = ops.rejects(tagged).filter("order_id = 'o4'").first()
-    assert (record["user_id"], record["amount_text"], record["reason"]) == ("u2", "abc", "amount_invalid")
+    assert (record["user_id"], record["amount_source"], record["reason"]) == ("u2", "abc", "amount_invalid")
 
 
 def test_summary_counts_rows_and_keeps_zero(tagged):
