@@ -10,14 +10,24 @@ from batchkit.functions.text import strip_ws
 AMOUNT_TYPE = "decimal(38,10)"
 MONEY_TYPE = "decimal(38,2)"
 
-# What pandas.to_numeric takes for a number. Java's parser would also take 5d, 5f and hexadecimals.
-_FLOAT_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"
+# The texts of an infinite number, in lower case.
+INFINITE = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 def to_number(text: Column) -> Column:
-    """Text to double; NULL (never NaN) where the text is no number."""
+    """Text to double; NULL (never NaN) where the text is no number.
+
+    Java's parser also takes a type suffix (5d, 5f) and hexadecimals. A text that ends in a digit or a
+    point and has no x is neither.
+    """
     trimmed = strip_ws(text)
-    return F.when(trimmed.rlike(_FLOAT_TEXT), trimmed.try_cast("double"))
+    last = F.substring(text, -1, 1)
+    # The last character of the trimmed text is only looked for where the text as it is has no digit there.
+    digit = F.when((last >= "0") & (last <= "9"), F.lit(True)).otherwise(
+        F.substring(trimmed, -1, 1).between("0", "9") | trimmed.endswith(".")
+    )
+    decimal = digit & ~F.contains(trimmed, F.lit("x")) & ~F.contains(trimmed, F.lit("X"))
+    return F.when(decimal | F.lower(trimmed).isin(*INFINITE), trimmed.try_cast("double"))
 
 
 def to_amount(text: Column) -> Column:

@@ -36,9 +36,18 @@ NA_TOKENS = (
 )
 
 
+def _printable(char: Column) -> Column:
+    return (char > " ") & (char <= "~")
+
+
 def strip_ws(text: Column) -> Column:
-    """Remove whitespace of every kind from both ends (Spark's ``trim`` removes spaces only)."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove whitespace of every kind from both ends (Spark's ``trim`` removes spaces only).
+
+    Most texts begin and end with a printable ASCII character; testing that is far cheaper than the
+    search in the list of whitespace characters.
+    """
+    bare = _printable(F.substring(text, 1, 1)) & _printable(F.substring(text, -1, 1))
+    return F.when(bare, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def strip_or_empty(text: Column) -> Column:
@@ -53,7 +62,9 @@ def na_to_null(text: Column) -> Column:
 
 def has_mark(text: Column, mark: str = "C") -> Column:
     """True where the trimmed, upper-cased text starts with ``mark``; a missing text is false."""
-    return F.startswith(F.upper(strip_or_empty(text)), F.lit(mark))
+    bare = _printable(F.substring(text, 1, 1))
+    begin = F.when(bare, text).otherwise(F.ltrim(text, F.lit(WHITESPACE)))
+    return F.coalesce(F.startswith(F.upper(F.substring(begin, 1, len(mark))), F.lit(mark)), F.lit(False))
 
 
 def or_label(text: Column, label: str) -> Column:

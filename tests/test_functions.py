@@ -1,5 +1,6 @@
 """Scalar functions on the texts and numbers where engines differ."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -39,8 +40,10 @@ def test_money_rounds_to_even(spark):
 
 
 def test_numbers(spark):
-    values = ["5", " 5.5 ", "1e3", ".5", "5.", "-7", "5d", "0x1p3", "1,000", "NaN", "", None]
-    assert evaluate(spark, numbers.to_number, values) == [5, 5.5, 1000, 0.5, 5, -7] + [None] * 6
+    good = ["5", " 5.5 ", "1e3", ".5", "5.", "-7", "5.e1", "+1E-2", "\t5.\n", "Inf", "-infinity"]
+    bad = ["5d", "5F", "0x1p3", "0X1P3", "1,000", "NaN", "", ".", "e5", "1e", "- 5", "5 5", "x", None]
+    assert evaluate(spark, numbers.to_number, good) == [float(v) for v in good]
+    assert evaluate(spark, numbers.to_number, bad) == [None] * len(bad)
 
 
 def test_counts(spark):
@@ -103,6 +106,21 @@ def test_times(spark):
     assert evaluate(spark, dates.to_time, values) == [datetime(2011, 1, 1)] + [None] * 4
 
 
+def test_times_of_almost_the_form(spark):
+    good = "2011-01-02 03:04:05"
+    values = [good[:i] + c + good[i + 1 :] for i in range(len(good)) for c in "0 +-:.TZx٣"]
+    values += [good + c for c in " Z.0"] + [c + good for c in " +-0"] + ["2011-1-2 03:04:05.67", "2011-01-02 3:4:5.678"]
+    shape = re.compile(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", re.ASCII)
+
+    def expected(value):
+        try:
+            return datetime.strptime(value, "%Y-%m-%d %H:%M:%S") if shape.fullmatch(value) else None
+        except ValueError:
+            return None
+
+    assert evaluate(spark, dates.to_time, values) == [expected(v) for v in values]
+
+
 def test_times_and_keys_do_not_depend_on_the_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
