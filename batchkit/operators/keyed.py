@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchkit.errors import ReconcileError
+from batchkit.errors import DataError, ReconcileError
 from batchkit.functions.dates import biz_date_key, row_key
 from batchkit.functions.numbers import money_text
 from batchkit.operators.checks import require_rows
@@ -104,13 +104,12 @@ def upsert(
     ones: a failed job loses neither. One writer per date at a time.
     """
     table = spark.table(name)
-    existing = table
-    if biz_dates is not None:
-        dates = [F.lit(d).cast("date") for d in biz_dates]
-        existing = table.filter(F.col(BIZ_DATE).isin(dates))
-        batch = batch.filter(F.col(BIZ_DATE).isin(dates))
+    named = None if biz_dates is None else F.col(BIZ_DATE).isin([F.lit(d).cast("date") for d in biz_dates])
+    existing = table if named is None else table.filter(named)
     cells = [c for c in table.columns if c not in (KEY, BIZ_DATE)]
     merged = land(merge_cells(existing, batch, KEY, cells, order_by, keep=[BIZ_DATE]), "upsert")
+    if named is not None and not merged.filter(~F.coalesce(named, F.lit(False))).isEmpty():
+        raise DataError(f"the batch holds rows of other dates than {', '.join(biz_dates)}")
     replace_slices(merged, name)
 
 
@@ -125,7 +124,7 @@ def replace_slices(df: DataFrame, name: str) -> None:
 
 
 def _date_of(prefix: str) -> Column:
-    return F.lit(f"{prefix[:4]}-{prefix[4:6]}-{prefix[6:8]}").cast("date")
+    return F.lit(f"{prefix[:4]}-{prefix[4:6]}-{prefix[6:8]}").try_cast("date")
 
 
 def prefix_scan(table: DataFrame, prefix: str) -> DataFrame:

@@ -145,21 +145,37 @@ def top_values(df: DataFrame, column: str, n: int = 10, missing: str = "缺失")
     )
 
 
-def _metric(section: str, metric: str | Column, value: Column) -> list[Column]:
-    name = F.lit(metric) if isinstance(metric, str) else metric
-    return [F.lit(section).alias("section"), name.alias("metric"), value.cast("string").alias("value")]
-
-
 def _second(time: Column) -> Column:
     return F.substring(time.cast("string"), 1, 19)
 
 
-def _sections(row: DataFrame, metrics: Sequence[tuple[str, str, Column]]) -> DataFrame:
-    """A one-row table as (section, metric, value) rows."""
-    items = [
-        F.struct(*_metric(section, metric, value)) for section, metric, value in metrics
-    ]
-    return row.select(F.inline(F.array(*items)))
+def _text(section: str, metric: str, value: Column) -> Column:
+    """A line of the report whose value is ready."""
+    return _line(section, metric, value.cast("string"), F.lit(None), F.lit(None))
+
+
+def _share(section: str, metric: str, part: Column, total: Column) -> Column:
+    """A line of the report whose value is ``part`` of ``total`` in percent."""
+    return _line(section, metric, F.lit(None), part, total)
+
+
+def _line(section: str, metric: str, text: Column, part: Column, total: Column) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"),
+        F.lit(metric).alias("metric"),
+        text.cast("string").alias("text"),
+        part.cast("bigint").alias("part"),
+        total.cast("bigint").alias("total"),
+    )
+
+
+def _lines(row: DataFrame, lines: Sequence[Column]) -> DataFrame:
+    """The lines taken from a one-row table, as (section, metric, value) rows."""
+    return row.select(F.inline(F.array(*lines))).select(
+        "section",
+        "metric",
+        F.coalesce("text", percent_text(F.col("part"), F.col("total"))).alias("value"),
+    )
 
 
 def quality_report(
@@ -187,38 +203,30 @@ def quality_report(
         F.max(time).alias("last_time"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
     )
-    metrics: list[tuple[str, str, Column]] = [
-        ("file", "row_count", total),
-        ("file", "column_count", F.lit(len(columns))),
-        ("size", "first_time", _second(F.col("first_time"))),
-        ("size", "last_time", _second(F.col("last_time"))),
-        ("cancelled", "count", F.col("marked")),
-        ("cancelled", "share", percent_text(F.col("marked"), total)),
+    lines = [
+        _text("file", "row_count", total),
+        _text("file", "column_count", F.lit(len(columns))),
+        _text("size", "first_time", _second(F.col("first_time"))),
+        _text("size", "last_time", _second(F.col("last_time"))),
+        _text("cancelled", "count", F.col("marked")),
+        _share("cancelled", "share", F.col("marked"), total),
     ]
     for c in measures:
-        metrics += [
-            (c, "negative", F.col(f"negative_{c}")),
-            (c, "zero", F.col(f"zero_{c}")),
-            (c, "invalid", F.col(f"invalid_{c}")),
-            (c, "invalid_share", percent_text(F.col(f"invalid_{c}"), total)),
-        ]
-    metrics += [("core_missing", c, F.col(f"null_{c}")) for c in core]
+        lines += [_text(c, kind, F.col(f"{kind}_{c}")) for kind in ("negative", "zero", "invalid")]
+        lines.append(_share(c, "invalid_share", F.col(f"invalid_{c}"), total))
+    lines += [_text("core_missing", c, F.col(f"null_{c}")) for c in core]
     for c in columns:
-        metrics += [
-            ("null_count", c, F.col(f"null_{c}")),
-            ("null_share", c, percent_text(F.col(f"null_{c}"), total)),
-        ]
-    different = distinct_counts(df, list(distinct.values()))
-    repeated = duplicate_count(df, wide)
+        lines += [_text("null_count", c, F.col(f"null_{c}")), _share("null_share", c, F.col(f"null_{c}"), total)]
+    repeats = F.col("duplicate_count")
     parts = [
-        _sections(plain, metrics),
-        _sections(different, [("size", name, F.col(f"distinct_{c}")) for name, c in distinct.items()]),
-        _sections(
-            repeated,
-            [
-                ("duplicates", "count", F.col("duplicate_count")),
-                ("duplicates", "share", percent_text(F.col("duplicate_count"), total)),
-            ],
+        _lines(plain, lines),
+        _lines(
+            distinct_counts(df, list(distinct.values())),
+            [_text("size", name, F.col(f"distinct_{c}")) for name, c in distinct.items()],
+        ),
+        _lines(
+            duplicate_count(df, wide),
+            [_text("duplicates", "count", repeats), _share("duplicates", "share", repeats, total)],
         ),
         top_values(df, top).select(
             F.lit("top").alias("section"),

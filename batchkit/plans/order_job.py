@@ -19,7 +19,7 @@ from batchkit.operators.orders import (
     tag_rejects,
 )
 from batchkit.session import land
-from batchkit.sources.csv import text_scan, write_csv
+from batchkit.sources.csv import SOURCE_FILE, text_scan, write_csv
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,7 @@ def run_daily(
     """
     key = biz_date_key(biz_date)
     source, target = f"{base}/raw/{key}", f"{base}/result/{key}/user_summary"
-    tagged = tag_rejects(text_scan(spark, source, REQUIRED, flag_extra=True))
+    tagged = tag_rejects(text_scan(spark, source, REQUIRED, flag_extra=True, name_file=True))
     rollup = land(order_rollup(tagged), "rollup")
     summary = summary_of(rollup)
     require_rows(summary, f"orders of {biz_date}")
@@ -58,7 +58,7 @@ def run_daily(
     write_csv(text, target, single_file)
     if keep_rejects:
         write_csv(
-            rejects(tagged).select("order_id", "user_id", "amount_source", "reason"),
+            rejects(tagged).select("order_id", "user_id", "amount_source", "reason", SOURCE_FILE),
             f"{base}/result/{key}/rejects",
         )
 

@@ -13,6 +13,7 @@ from batchkit.functions.text import na_to_null, strip_or_empty
 from batchkit.operators.checks import require_columns
 
 EXTRA_CELLS = "_extra_cells"
+SOURCE_FILE = "_file"
 _RECORD = "_record"
 
 
@@ -61,10 +62,12 @@ def text_scan(
     path: str,
     required: Sequence[str] = (),
     flag_extra: bool = False,
+    name_file: bool = False,
 ) -> DataFrame:
     """Scan every column as text: header names and values trimmed, a missing cell as ``""``.
 
     ``flag_extra`` adds the boolean ``_extra_cells``: the row has more cells than the header.
+    ``name_file`` adds ``_file``, the path of the file the row is from.
     """
     names = header(spark, path)
     trimmed = [name.strip() for name in names]
@@ -75,8 +78,9 @@ def text_scan(
         fields.append(T.StructField(_RECORD, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", _RECORD).option("columnPruning", False)
     df = reader.schema(T.StructType(fields)).csv(path)
-    df = df.toDF(*trimmed, *df.columns[len(trimmed):])
-    columns = [strip_or_empty(F.col(f"`{name}`")).alias(name) for name in trimmed]
+    columns = [strip_or_empty(F.col(f"`{raw}`")).alias(name) for raw, name in zip(names, trimmed)]
+    if name_file:
+        columns.append(F.col("_metadata.file_path").alias(SOURCE_FILE))
     if flag_extra:
         # The record is kept only where the number of cells is off; separators inside quotes do not count.
         bare = F.regexp_replace(F.col(_RECORD), r'"([^"]|"")*"', "")

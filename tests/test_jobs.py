@@ -53,7 +53,9 @@ def test_daily_orders(spark, tmp_path):
     put(f"{tmp_path}/raw/20260719/orders.csv", "order_id,user_id,amount\no1,u001,5\no2,,5\n")
     result = run(spark, tmp_path, table, "2026-07-19")
     assert (result.valid_rows, result.skipped_rows, result.users) == (1, 1, 1)
-    assert joined(f"{tmp_path}/result/20260719/rejects") == "order_id,user_id,amount_source,reason\no2,,5,user_id_empty\n"
+    header, reject = joined(f"{tmp_path}/result/20260719/rejects").splitlines()
+    assert header == "order_id,user_id,amount_source,reason,_file"
+    assert reject.startswith("o2,,5,user_id_empty,") and reject.endswith("/raw/20260719/orders.csv")
     assert spark.table(table).count() == 4
 
 

@@ -49,6 +49,13 @@ def test_other_dates_stay(spark, name):
         ops.require_slice(spark, name, "2026-07-19", 3)
 
 
+def test_rows_of_other_dates_are_refused(spark, name):
+    rows = batch(spark, ("20260718#u1", "u1", "1", "1", "t", "2026-07-18"), ("20260719#u1", "u1", "1", "1", "t", "2026-07-19"))
+    with pytest.raises(DataError):
+        ops.upsert(spark, name, rows, ["update_time"], ["2026-07-18"])
+    assert content(spark, name) == {}
+
+
 def test_a_known_path_becomes_a_table_again(spark, name, tmp_path):
     ops.upsert(spark, name, batch(spark, ("20260718#u1", "u1", "1", "1", "t", "2026-07-18")), ["update_time"])
     again = f"stats_{uuid.uuid4().hex}"
