@@ -45,21 +45,26 @@ def table_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def summary_violation() -> Column:
-    """The first rule a text summary row (user_id, order_count, total_amount) breaks; NULL if none."""
-    count_text, total_text = F.col("order_count"), F.col("total_amount")
+def _not_negative(value: Column, name: str) -> Column:
+    """NULL where the value is 0 or more, which is tested first: it is the common case."""
     return (
-        F.when(strip_or_empty(F.col("user_id")) == "", "user_id_empty")
-        .when(to_count(count_text).isNull(), "order_count_invalid")
-        .when(to_count(count_text) < 0, "order_count_negative")
-        .when(to_amount(total_text).isNull(), "total_amount_invalid")
-        .when(to_amount(total_text) < 0, "total_amount_negative")
+        F.when(value >= 0, F.lit(None))
+        .when(value < 0, F.lit(f"{name}_negative"))
+        .otherwise(F.lit(f"{name}_invalid"))
     )
 
 
 def summary_violations(df: DataFrame) -> DataFrame:
-    """The rows of a text summary that break a rule, with the ``reason``."""
-    return df.withColumn("reason", summary_violation()).filter(F.col("reason").isNotNull())
+    """The rows of a text summary (user_id, order_count, total_amount) that break a rule.
+
+    ``reason`` is the first rule broken: an empty user, a count or an amount that is none or negative.
+    """
+    reason = F.coalesce(
+        F.when(strip_or_empty(F.col("user_id")) == "", F.lit("user_id_empty")),
+        _not_negative(to_count(F.col("order_count")), "order_count"),
+        _not_negative(to_amount(F.col("total_amount")), "total_amount"),
+    )
+    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def require_clean(violations: DataFrame) -> None:

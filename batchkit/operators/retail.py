@@ -24,18 +24,10 @@ STANDARD_NAMES = {
 }
 COLUMNS = tuple(STANDARD_NAMES.values())
 
-RETAIL_SCHEMA = T.StructType(
-    [
-        T.StructField("invoice_no", T.StringType()),
-        T.StructField("stock_code", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("quantity", T.DoubleType()),
-        T.StructField("invoice_date", T.TimestampNTZType()),
-        T.StructField("unit_price", T.DoubleType()),
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("country", T.StringType()),
-    ]
-)
+# All other columns are text.
+_TYPES = {"quantity": T.DoubleType(), "unit_price": T.DoubleType(), "invoice_date": T.TimestampNTZType()}
+
+RETAIL_SCHEMA = T.StructType([T.StructField(name, _TYPES.get(name, T.StringType())) for name in COLUMNS])
 
 
 def normalise(df: DataFrame) -> DataFrame:

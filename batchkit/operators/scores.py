@@ -10,14 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The column names of the score files and of the result.
-SCORE_SCHEMA = T.StructType(
-    [
-        T.StructField("学号", T.StringType(), nullable=False),
-        T.StructField("姓名", T.StringType(), nullable=False),
-        T.StructField("科目", T.StringType(), nullable=False),
-        T.StructField("分数", T.IntegerType(), nullable=True),
-        T.StructField("班级", T.StringType(), nullable=False),
-    ]
+SCORE_SCHEMA = (
+    T.StructType().add("学号", "string").add("姓名", "string").add("科目", "string").add("分数", "integer").add("班级", "string")
 )
 
 

@@ -15,7 +15,7 @@ _local_root: str | None = None
 
 
 def build_session(app_name: str = "batchkit", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators are tuned for; the cluster's own settings win."""
+    """A session with the settings the operators rely on; entries of ``conf`` are set after them."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
