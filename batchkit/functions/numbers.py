@@ -85,7 +85,7 @@ def round_nearest(x: Column) -> Column:
 
 def number_text(x: Column) -> Column:
     """The shortest plain text of a number: 12.0 gives ``12``, 12.50 gives ``12.5``."""
-    return F.regexp_replace(x.cast("decimal(38,17)").cast("string"), r"\.?0+$", "")
+    return F.regexp_replace(F.format_string("%.17f", x.cast("double")), r"\.?0+$", "")
 
 
 def with_unit(text: Column, unit: str) -> Column:

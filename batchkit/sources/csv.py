@@ -18,13 +18,14 @@ _RECORD = "_record"
 
 
 def _reader(spark: SparkSession, multiline: bool = False):
-    # A quote inside a quoted cell is doubled, as spreadsheet and Python writers do.
+    # A quote inside a quoted cell is doubled, as spreadsheet and Python writers do. Cells with line
+    # breaks need ``multiline``, which makes each file one task: split such input into many files.
     return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
+def header(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
     """The column names of the first file, as written."""
-    return _reader(spark).csv(path).columns
+    return _reader(spark, multiline).csv(path).columns
 
 
 def typed_scan(
@@ -33,6 +34,7 @@ def typed_scan(
     schema: T.StructType,
     strict: bool = False,
     corrupt_column: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Scan with a fixed schema.
 
@@ -41,7 +43,7 @@ def typed_scan(
     did not fit.
     """
     reader = (
-        _reader(spark)
+        _reader(spark, multiline)
         .option("enforceSchema", not strict)
         .option("timestampNTZFormat", TIME_FORMAT)
     )
@@ -63,17 +65,18 @@ def text_scan(
     required: Sequence[str] = (),
     flag_extra: bool = False,
     name_file: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Scan every column as text: header names and values trimmed, a missing cell as ``""``.
 
     ``flag_extra`` adds the boolean ``_extra_cells``: the row has more cells than the header.
     ``name_file`` adds ``_file``, the path of the file the row is from.
     """
-    names = header(spark, path)
+    names = header(spark, path, multiline)
     trimmed = [name.strip() for name in names]
     require_columns(trimmed, required)
     fields = [T.StructField(name, T.StringType()) for name in names]
-    reader = _reader(spark).option("enforceSchema", False)
+    reader = _reader(spark, multiline).option("enforceSchema", False)
     if flag_extra:
         fields.append(T.StructField(_RECORD, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", _RECORD).option("columnPruning", False)
@@ -89,15 +92,15 @@ def text_scan(
     return df.select(*columns)
 
 
-def na_scan(spark: SparkSession, path: str, expected: Sequence[str]) -> DataFrame:
+def na_scan(spark: SparkSession, path: str, expected: Sequence[str], multiline: bool = False) -> DataFrame:
     """Scan the expected columns as text, in that order, with missing-value tokens as NULL.
 
     Identifiers stay text, so leading zeros and letter prefixes survive.
     """
-    names = header(spark, path)
+    names = header(spark, path, multiline)
     require_columns(names, expected)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    df = _reader(spark).option("enforceSchema", False).schema(schema).csv(path)
+    df = _reader(spark, multiline).option("enforceSchema", False).schema(schema).csv(path)
     return df.select(*[na_to_null(F.col(f"`{name}`")).alias(name) for name in expected])
 
 

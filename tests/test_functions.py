@@ -69,7 +69,14 @@ def test_percent_text_of_nothing(spark):
 
 def test_round_nearest_and_number_text(spark):
     assert evaluate(spark, numbers.round_nearest, [-2.5, 30.5, -0.4, 1.49], "double") == [-2, 31, 0, 1]
-    assert evaluate(spark, numbers.number_text, [12.0, 12.5, 100.0, 0.1], "double") == ["12", "12.5", "100", "0.1"]
+    values = [12.0, 12.5, 100.0, 0.1, 0.0, -3.0, 1e-7]
+    expected = ["12", "12.5", "100", "0.1", "0", "-3", "0.0000001"]
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            assert evaluate(spark, numbers.number_text, values, "double") == expected
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_strip_removes_what_python_strips(spark):

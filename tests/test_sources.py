@@ -85,6 +85,13 @@ def test_csv_round_trip_of_hard_text(spark, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == values
 
 
+def test_cells_with_line_breaks(spark, tmp_path):
+    path = write(tmp_path, 'id,name\n1,"two\nlines"\n2,b\n')
+    assert [tuple(r) for r in csv.text_scan(spark, path, multiline=True).collect()] == [("1", "two\nlines"), ("2", "b")]
+    assert csv.na_scan(spark, path, ("name",), multiline=True).first()["name"] == "two\nlines"
+    assert csv.typed_scan(spark, path, SCHEMA, multiline=True).count() == 2
+
+
 def test_empty_csv_has_a_header(spark, tmp_path):
     path = str(tmp_path / "out")
     csv.write_csv(spark.createDataFrame([], "id int, name string"), path, single_file=True)
