@@ -30,14 +30,28 @@ def to_number(text: Column) -> Column:
     return F.when(decimal | F.lower(trimmed).isin(*INFINITE), trimmed.try_cast("double"))
 
 
+def _plausible(trimmed: Column, *never: str) -> Column:
+    """False for texts that are surely no number: a failing cast costs far more than this test.
+
+    Digits outside ASCII are left to the cast.
+    """
+    last = F.substring(trimmed, -1, 1)
+    result = last.between("0", "9") | (last == ".") | (last > "~")
+    for char in never:
+        result = result & ~F.contains(trimmed, F.lit(char))
+    return result
+
+
 def to_amount(text: Column) -> Column:
     """Text to exact decimal; NULL where it is no finite decimal number."""
-    return strip_ws(text).try_cast(AMOUNT_TYPE)
+    trimmed = strip_ws(text)
+    return F.when(_plausible(trimmed, ",", "_"), trimmed.try_cast(AMOUNT_TYPE))
 
 
 def to_count(text: Column) -> Column:
     """Text to a whole number; NULL where it is none."""
-    return strip_ws(text).try_cast("bigint")
+    trimmed = strip_ws(text)
+    return F.when(_plausible(trimmed, ",", "_", "."), trimmed.try_cast("bigint"))
 
 
 def to_money(amount: Column) -> Column:

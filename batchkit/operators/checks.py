@@ -12,6 +12,16 @@ from batchkit.functions.numbers import to_amount, to_count
 from batchkit.functions.text import digest, strip_or_empty
 
 
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows where ``condition`` is true, for a condition on columns that are costly to compute.
+
+    A filter would be moved below the projection that computes them and repeat their expressions,
+    once per mention; a generator of one or no row stays where it is.
+    """
+    kept = F.explode(F.when(condition, F.array(F.lit(True))))
+    return df.select("*", kept.alias("_kept")).drop("_kept")
+
+
 def require_columns(actual: Iterable[str], required: Sequence[str]) -> list[str]:
     """Raise if a required column is missing; return the columns that were not asked for."""
     actual = list(actual)
@@ -59,12 +69,20 @@ def summary_violations(df: DataFrame) -> DataFrame:
 
     ``reason`` is the first rule broken: an empty user, a count or an amount that is none or negative.
     """
+    parsed = df.withColumns(
+        {
+            "_user": strip_or_empty(F.col("user_id")),
+            "_count": to_count(F.col("order_count")),
+            "_total": to_amount(F.col("total_amount")),
+        }
+    )
     reason = F.coalesce(
-        F.when(strip_or_empty(F.col("user_id")) == "", F.lit("user_id_empty")),
-        _not_negative(to_count(F.col("order_count")), "order_count"),
-        _not_negative(to_amount(F.col("total_amount")), "total_amount"),
+        F.when(F.col("_user") == "", F.lit("user_id_empty")),
+        _not_negative(F.col("_count"), "order_count"),
+        _not_negative(F.col("_total"), "total_amount"),
     )
-    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    tagged = parsed.withColumn("reason", reason).drop("_user", "_count", "_total")
+    return keep_where(tagged, F.col("reason").isNotNull())
 
 
 def require_clean(violations: DataFrame) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from batchkit.functions.numbers import AMOUNT_TYPE, money_text, to_amount, to_money
 from batchkit.functions.text import strip_or_empty
+from batchkit.operators.checks import keep_where
 from batchkit.sources.csv import EXTRA_CELLS
 
 REQUIRED = ("order_id", "user_id", "amount")
@@ -67,7 +68,7 @@ def tag_rejects(df: DataFrame) -> DataFrame:
 
 def rejects(tagged: DataFrame) -> DataFrame:
     """The rejected records with their reason."""
-    return tagged.filter(F.col("reason").isNotNull())
+    return keep_where(tagged, F.col("reason").isNotNull())
 
 
 def order_rollup(tagged: DataFrame) -> DataFrame:
@@ -114,7 +115,9 @@ def user_summary(tagged: DataFrame, dedup: bool = False) -> DataFrame:
     Rows are counted, not distinct order ids; with ``dedup`` fully equal (order, user, amount) rows
     count once.
     """
-    valid = tagged.filter(F.col("reason").isNull())
+    is_valid = F.col("reason").isNull()
+    # Typed columns are cheap to test, and the test may reach the scan.
+    valid = keep_where(tagged, is_valid) if _is_text(tagged, "amount_source") else tagged.filter(is_valid)
     if dedup:
         valid = valid.select("order_id", "user_id", "amount").distinct()
     return valid.groupBy("user_id").agg(

@@ -21,7 +21,7 @@ def evaluate(spark, function, values, kind="string"):
 
 @pytest.mark.parametrize(
     "given_text,expected",
-    [("1e3", 1000), ("+5", 5), ("-0", 0), (" 5 ", 5), ("\t5\n", 5)],
+    [("1e3", 1000), ("+5", 5), ("-0", 0), (" 5 ", 5), ("\t5\n", 5), ("5.", 5), ("１２", 12)],
 )
 def test_amounts_accepted(spark, given_text, expected):
     assert evaluate(spark, numbers.to_amount, [given_text]) == [Decimal(expected)]
