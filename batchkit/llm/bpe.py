@@ -4,6 +4,10 @@ Texts are split by the vocabulary's pattern. A block of documents turns into the
 document, the sequence of their positions in that list. The words are exploded and shuffled over the whole corpus, in
 buckets by hash: each distinct word is encoded once. Its ids return to every block that has it, where the sequences
 are filled in. Words, positions and ids travel packed, many to a row, so the text itself is never shuffled.
+
+Words and sequences go through one exchange: a word row's ``key`` is its bucket as a negative number, a document row's
+is its block. Both consumers take all columns and pick their rows themselves, so Spark reuses that exchange and splits
+every text once.
 """
 
 from __future__ import annotations
@@ -26,8 +30,6 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from batchkit.session import land
-
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
@@ -106,7 +108,7 @@ class Block:
                 lengths = np.fromiter(map(len, words), np.int64, len(words))
                 packed = zstandard.ZstdCompressor(level=1).compress(b"".join(words))
                 yield {
-                    "block": block, "bucket": int(bucket[part[0]]), "places": _pack(np.diff(rank[part], prepend=0)),
+                    "key": -1 - int(bucket[part[0]]), "block": block, "places": _pack(np.diff(rank[part], prepend=0)),
                     "lengths": _pack(lengths), "data": packed,
                 }
         ids, counts, places, size = [], [], [], 0
@@ -116,14 +118,14 @@ class Block:
             places.append(rank[own])
             size += n_bytes
             if size >= CHUNK_BYTES:
-                yield {"block": block, "ids": ids, "counts": counts, "places": _pack(np.concatenate(places))}
+                yield {"key": block, "block": block, "ids": ids, "counts": counts, "places": _pack(np.concatenate(places))}
                 ids, counts, places, size = [], [], [], 0
         if ids:
-            yield {"block": block, "ids": ids, "counts": counts, "places": _pack(np.concatenate(places))}
+            yield {"key": block, "block": block, "ids": ids, "counts": counts, "places": _pack(np.concatenate(places))}
 
 
 def split_blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
-    """Rows of words (``bucket`` set) and of documents (``ids`` set), by block."""
+    """Rows of words (``key`` below 0) and of documents, with the block they are from."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -138,7 +140,7 @@ def split_blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, buck
         for batch in batches:
             if schema is None:
                 schema = pa.schema(
-                    [("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(batch.schema.field("id").type)),
+                    [("key", pa.int64()), ("block", pa.int64()), ("ids", pa.list_(batch.schema.field("id").type)),
                      ("counts", pa.list_(pa.int32())), ("places", pa.binary()), ("lengths", pa.binary()), ("data", pa.binary())]
                 )
             for doc_id, text in zip(batch.column("id"), batch.column("text")):
@@ -150,7 +152,7 @@ def split_blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str, buck
             yield from made()
 
     return rows.mapInArrow(
-        run, f"block bigint, bucket int, ids array<{kind}>, counts array<int>, places binary, lengths binary, data binary"
+        run, f"key bigint, block bigint, ids array<{kind}>, counts array<int>, places binary, lengths binary, data binary"
     )
 
 
@@ -159,10 +161,12 @@ def _cut(data: bytes, lengths: np.ndarray) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_words(split: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per word row its ids: each distinct word of a bucket is encoded once, whatever the number of blocks it is in."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:
+            table = table.slice(0, 0)
         encode = encoding(path, pattern)._encode_single_piece
         known: dict[bytes, list[int]] = {}
         counts, ids = [], []
@@ -179,8 +183,7 @@ def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
             names=["block", "places", "counts", "ids"],
         )
 
-    rows = words.select("block", "bucket", "places", "lengths", "data")
-    return rows.groupBy("bucket").applyInArrow(run, "block bigint, places binary, counts binary, ids binary")
+    return split.groupBy("key").applyInArrow(run, "block bigint, places binary, counts binary, ids binary")
 
 
 class _Filled:
@@ -211,11 +214,13 @@ class _Filled:
         return b"".join(map(self.bytes.__getitem__, places.tolist()))
 
 
-def reassemble(documents: DataFrame, encoded: DataFrame, path: str, id_col: str, keep_ids: bool) -> DataFrame:
+def reassemble(split: DataFrame, encoded: DataFrame, path: str, id_col: str, keep_ids: bool) -> DataFrame:
     """Each block's documents, filled with the ids of its words by position, and decoded again."""
-    kind = documents.schema["ids"].dataType.elementType.simpleString()
+    kind = split.schema["ids"].dataType.elementType.simpleString()
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            left = left.slice(0, 0)
         block = _Filled(right, token_bytes(path))
         ids, sizes, digests, texts, kept = [], [], [], [], []
         for own, counts, places in zip(left.column("ids"), left.column("counts"), left.column("places")):
@@ -228,7 +233,12 @@ def reassemble(documents: DataFrame, encoded: DataFrame, path: str, id_col: str,
                 texts.append(hashlib.sha256(block.decoded(part)).hexdigest())
                 if keep_ids:
                     kept.append(found.astype(np.int32))
-        columns = [pa.array(ids, left.schema.field("ids").type.value_type), pa.array(sizes, pa.int64()), digests, texts]
+        columns = [
+            pa.array(ids, left.schema.field("ids").type.value_type),
+            pa.array(sizes, pa.int64()),
+            pa.array(digests, pa.string()),
+            pa.array(texts, pa.string()),
+        ]
         names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
         if keep_ids:
             columns.append(pa.array(kept, pa.list_(pa.int32())))
@@ -237,8 +247,7 @@ def reassemble(documents: DataFrame, encoded: DataFrame, path: str, id_col: str,
 
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" if keep_ids else ""
-    rows = documents.select("block", "ids", "counts", "places")
-    return rows.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(run, schema)
+    return split.groupBy("key").cogroup(encoded.groupBy("block")).applyInArrow(run, schema)
 
 
 def encode(
@@ -258,6 +267,5 @@ def encode(
     """
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
-    rows = land(split_blocks(docs, id_col, text_col, pattern, buckets, block_bytes), "words")
-    encoded = encode_words(rows.filter("bucket IS NOT NULL"), path, pattern)
-    return reassemble(rows.filter("ids IS NOT NULL"), encoded, path, id_col, keep_ids)
+    split = split_blocks(docs, id_col, text_col, pattern, buckets, block_bytes).repartition("key")
+    return reassemble(split, encode_words(split, path, pattern), path, id_col, keep_ids)

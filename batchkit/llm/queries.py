@@ -8,7 +8,7 @@ from inspect import cleandoc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, exact, minhash, mixing, quality
+from batchkit.llm import bpe, exact, minhash, mixing, quality, tokens, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -129,3 +129,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir))
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(documents(spark, sf_dir))
+
+
+@query()
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_shards(documents(spark, sf_dir))
