@@ -8,7 +8,7 @@ from inspect import cleandoc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, exact, minhash, mixing, quality, tokens, wavelet
+from batchkit.llm import bpe, exact, html, lines, minhash, mixing, quality, tokens, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -139,3 +139,31 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_shards(documents(spark, sf_dir))
+
+
+@query(
+    """
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    held AS (
+        SELECT *, strlen(html) AS n, CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html)
+                                     ELSE page_id END AS keeper
+        FROM payloads)
+    SELECT page_id, cast(n AS bigint) AS payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+    FROM held
+    """
+)
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(pages(spark, sf_dir))
+
+
+@query()
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(pages(spark, sf_dir))
+
+
+@query()
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.drop_recurring_lines(documents(spark, sf_dir))
+    return cleaned.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
