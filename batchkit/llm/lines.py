@@ -22,7 +22,7 @@ VARIABLE = "<*>"
 
 def line_tokens(line: Column) -> Column:
     """The tokens of a line, those with a digit as the variable mark."""
-    trimmed = F.regexp_replace(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")), r"[^ ]*[0-9][^ ]*", VARIABLE)
+    trimmed = F.regexp_replace(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
 
 
