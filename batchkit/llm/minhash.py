@@ -2,8 +2,9 @@
 
 A sketch has 256 registers. A shingle's hash picks a register with its first 8 bits; the register keeps the smallest
 of the other bits, compressed to 16 bits: leading zeros and the 10 bits that follow the first one. Runs of five
-registers are the bands. Documents that share a band are compared by the share of equal registers, corrected for
-registers that are equal by chance, and then by their sets.
+registers are the bands; for them an empty register borrows the value of another, always tried in the same order, so
+that a band of a short text says as much as that of a long one. Documents that share a band are compared by the share
+of equal registers, corrected for registers that are equal by chance, and then by their sets.
 
 At a similarity of 0.8 a band agrees with probability 0.33 or more, so all 51 differ with probability 2e-9.
 """
@@ -17,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,7 @@ REGISTER_BITS = 8
 REGISTERS = 1 << REGISTER_BITS
 MANTISSA_BITS = 10
 BAND = 5
+BANDS = REGISTERS // BAND
 EMPTY = 0xFFFF
 CACHED_WORDS = 1 << 20
 
@@ -81,6 +83,22 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return result
 
 
+# For each register the others in the order in which it borrows.
+_LENDERS = np.random.default_rng(13).permuted(np.tile(np.arange(REGISTERS), (REGISTERS, 1)), axis=1)
+
+
+def bands(sketched: np.ndarray) -> np.ndarray:
+    """A hash per band of a sketch that has values."""
+    empty = sketched == EMPTY
+    borrowed = _LENDERS[np.arange(REGISTERS), np.argmax(~empty[_LENDERS], axis=1)]
+    filled = np.where(empty, sketched[borrowed], sketched).astype(np.uint64)
+    runs = filled[: BANDS * BAND].reshape(BANDS, BAND)
+    mixed = np.arange(1, BANDS + 1).astype(np.uint64)
+    for i in range(BAND):
+        mixed = _scatter(mixed * _SALTS[0] + runs[:, i])
+    return mixed.view(np.int64)
+
+
 def chance_equal(n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
     """Probability that registers of disjoint sets of these sizes are equal, for register ranges that both reach."""
     levels = np.arange(63)[:, None]
@@ -115,26 +133,34 @@ def _plausible(minimum: float):
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """Per row: id, ``n`` (set size), ``key`` (digest of the words) and ``registers`` (null for an empty set)."""
+    """Per row: id, ``n`` (set size), ``key`` (digest of the words), ``registers`` and ``bands`` (null for an empty set)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle_words)
         for batch in batches:
-            sizes, keys, sketches = [], [], []
+            sizes, keys, sketches, banded = [], [], [], []
             for text in batch.column("text"):
                 words = shingler.words(text.as_py())
                 found = shingler.shingles(words)
                 sizes.append(len(found))
                 keys.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                sketches.append(registers(found).tobytes() if words else None)
+                own = registers(found) if words else None
+                sketches.append(own.tobytes() if words else None)
+                banded.append(bands(own) if words else None)
             yield pa.record_batch(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())],
-                names=["id", "n", "key", "registers"],
+                [
+                    batch.column("id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(keys, pa.binary()),
+                    pa.array(sketches, pa.binary()),
+                    pa.array(banded, pa.list_(pa.int64())),
+                ],
+                names=["id", "n", "key", "registers", "bands"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n bigint, key binary, registers binary")
+    return rows.mapInArrow(run, f"id {kind}, n bigint, key binary, registers binary, bands array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
@@ -161,16 +187,6 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     return sets.dropDuplicates(["node"])
 
 
-def _bands() -> Column:
-    """The band hashes of a sketch, without bands that have no value."""
-    width = 2 * BAND
-    starts = F.sequence(F.lit(1), F.lit(2 * REGISTERS - width + 1), F.lit(width))
-    nothing = F.lit(b"\xff" * width)
-    parts = F.transform(starts, lambda i: F.substring(F.col("registers"), i, F.lit(width)))
-    hashed = F.transform(parts, lambda part, i: F.when(part != nothing, F.xxhash64(i, part)))
-    return F.filter(hashed, lambda x: x.isNotNull())
-
-
 def relabel(labels: DataFrame, links: DataFrame, spark: SparkSession) -> DataFrame:
     """``labels`` (node, comp) after joining the components that ``links`` (a, b) connect.
 
@@ -285,10 +301,10 @@ def near_duplicates(
     spark = docs.sparkSession
     rows = land(sketch(docs, id_col, text_col, shingle_words), "sketches")
     grouped = rows.filter("n > 0").groupBy("key").agg(
-        F.min("id").alias("id"), F.max("n").alias("n"), F.max("registers").alias("registers")
-    )
+        F.min("id").alias("id"), F.max("n").alias("n"), F.max(F.struct("registers", "bands")).alias("s")
+    ).select("id", "key", "n", "s.*")
     classes = land(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
-    banded = classes.select("node", F.explode(_bands()).alias("bucket"))
+    banded = classes.select("node", F.explode("bands").alias("bucket"))
     shared = land(banded.groupBy("bucket").count().filter("count > 1").select("bucket"), "buckets")
     members = land(banded.join(shared, "bucket"), "members")
     wanted = land(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "id", "key"), "wanted")
