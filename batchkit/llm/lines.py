@@ -20,10 +20,15 @@ ALIKE = 0.7  # share of a line's tokens that must be the template's
 VARIABLE = "<*>"
 
 
-def line_tokens(line: Column) -> Column:
-    """The tokens of a line, those with a digit as the variable mark."""
-    trimmed = F.regexp_replace(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
+def masked(line: Column) -> Column:
+    """The tokens of a line with one space between them, those with a digit as the variable mark.
+
+    Most lines need neither of the patterns; they are only used where they find something.
+    """
+    spaced = F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
+    single = F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " ++", " ")).otherwise(spaced)
+    variable = F.regexp_replace(single, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)
+    return F.when(single.rlike("[0-9]"), variable).otherwise(single)
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -37,22 +42,25 @@ def template_lines(
     """(id, digest, line, template) of the lines with a recurring template; ``line`` is the place in the document.
 
     Equal texts count once. Leaves of one text only are told by a smallest and a largest digest, which combine on the
-    map side; only lines of other leaves are shuffled.
+    map side. Lines are split once and set aside.
     """
     lines = (
         _documents(docs, id_col, text_col)
         .select("id", "digest", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-        .select("id", "digest", "line", line_tokens(F.col("content")).alias("tokens"))
-        .filter(F.size("tokens") >= least_tokens)
-        .withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)))
+        .select("id", "digest", "line", masked(F.col("content")).alias("content"))
+        .withColumn("size", F.length("content") - F.length(F.translate("content", " ", "")) + 1)
+        .filter(F.col("size") >= least_tokens)
+        .withColumn("leaf", F.xxhash64("size", F.substring_index("content", " ", leading)))
     )
+    lines = land(lines.select("id", "digest", "line", "leaf", "content"), "split")
     shared = lines.groupBy("leaf").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
     shared = land(shared.filter("low <> high").select("leaf"), "leaves")
-    found = lines.join(shared, "leaf").withColumn("key", F.unhex(F.md5(F.array_join("tokens", " "))))
+    # The number of leaves grows with the corpus: merged at every size, so that small input shows the plan of large.
+    found = lines.join(shared.hint("merge"), "leaf").withColumn("key", F.unhex(F.md5("content")))
     found = land(found, "lines")
 
-    kinds = found.groupBy("leaf", "key").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
-    kinds = land(kinds, "kinds")
+    kinds = found.groupBy("leaf", "key").agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n"))
+    kinds = land(kinds.withColumn("tokens", F.split("content", " ")).drop("content"), "kinds")
     places = kinds.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
     counted = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
     most = counted.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("all"))
