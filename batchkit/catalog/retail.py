@@ -92,7 +92,9 @@ def retail_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH {CLEAN}
     SELECT customer_id, count(*) AS line_count, count(*) FILTER (is_cancelled) AS cancelled_lines,
-           cast(round_even(sum(cast(quantity AS decimal(18,4)) * cast(unit_price AS decimal(18,4))), 2)
+           count(*) FILTER (try_cast(quantity AS decimal(18,6)) IS NULL OR try_cast(unit_price AS decimal(19,8)) IS NULL)
+               AS unusable_lines,
+           cast(round_even(sum(try_cast(quantity AS decimal(18,6)) * try_cast(unit_price AS decimal(19,8))), 2)
                 AS decimal(38,2)) AS total_amount
     FROM cleaned WHERE customer_usable GROUP BY customer_id
     """

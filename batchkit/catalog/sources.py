@@ -121,12 +121,6 @@ def idempotent_date_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
-def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the data folder. Paths are not in the tables, so no SQL can name them."""
-    return files.file_manifest(spark, sf_dir)
-
-
 @query("SELECT count(*) + 1 AS lines FROM customer")
 def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a text table: one per customer and one with the column names."""
@@ -145,7 +139,9 @@ def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def head_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return rows.orderBy("o_orderkey").limit(1000)
+    path = scratch_path(spark, "sample")
+    csv.write_csv(rows.orderBy("o_orderkey").limit(1000), path, single_file=True)
+    return csv.typed_scan(spark, path, rows.schema)
 
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents")

@@ -98,10 +98,11 @@ def round_nearest(x: Column) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """The shortest plain text of a number: 12.0 gives ``12``, 12.50 gives ``12.5``."""
-    return F.regexp_replace(F.format_string("%.17f", x.cast("double")), r"\.?0+$", "")
+    """The shortest plain text of a number: 12.0 gives ``12``, 12.50 gives ``12.5``; NULL stays NULL."""
+    text = F.regexp_replace(F.format_string("%.17f", x.cast("double")), r"\.?0+$", "")
+    return F.when(x.isNotNull(), text)
 
 
 def with_unit(text: Column, unit: str) -> Column:
-    """A number's text followed by its unit."""
+    """A number's text followed by its unit; NULL where there is no number."""
     return F.concat(text, F.lit(unit))

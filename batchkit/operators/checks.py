@@ -132,8 +132,13 @@ def require_readback(written: DataFrame, read: DataFrame) -> int:
 
 
 def row_digests(df: DataFrame) -> DataFrame:
-    """One SHA-256 per row over all columns in order."""
-    return df.select(digest(F.to_json(F.struct(*df.columns))).alias("sha256"))
+    """One SHA-256 per row over all columns in order; times count to the microsecond."""
+    exact = {
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+        "ignoreNullFields": "false",
+    }
+    return df.select(digest(F.to_json(F.struct(*df.columns), exact)).alias("sha256"))
 
 
 def copy_check(source: DataFrame, copy: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchkit.errors import DataError, ReconcileError
+from batchkit.errors import DataError, ReconcileError, SchemaError
 from batchkit.functions.dates import biz_date_key, row_key
 from batchkit.functions.numbers import money_text
 from batchkit.operators.checks import require_rows
@@ -50,6 +50,9 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     Writes replace only the business dates they hold. Files already at ``path`` become its content.
     """
     if spark.catalog.tableExists(name):
+        present = {f.name: f.dataType for f in spark.table(name).schema}
+        if present != {f.name: f.dataType for f in schema.fields}:
+            raise SchemaError(f"{name} exists with other columns: {', '.join(present)}")
         return
     fields = [f for f in schema.fields if f.name != BIZ_DATE]
     # An append of no rows makes the folder, if it is not there, and leaves files in it alone.
@@ -99,16 +102,24 @@ def upsert(
 ) -> None:
     """Write keyed rows into the table; a rerun leaves no second row for a key.
 
-    ``biz_dates`` names the dates the batch holds, so that only their folders are read; without it
-    the batch may touch any date. The merged dates are written aside before they replace the old
+    Only the folders of dates that the batch holds are read and replaced: ``biz_dates`` names them;
+    without it the batch is set aside once and asked for its dates. The merged dates are written aside before they replace the old
     ones: a failed job loses neither. One writer per date at a time.
     """
     table = spark.table(name)
-    named = None if biz_dates is None else F.col(BIZ_DATE).isin([F.lit(d).cast("date") for d in biz_dates])
-    existing = table if named is None else table.filter(named)
+    if biz_dates is None:
+        batch = land(batch, "batch")
+        held = batch.select(BIZ_DATE).distinct().collect()
+        if any(r[BIZ_DATE] is None for r in held):
+            raise DataError("the batch holds rows without a business date")
+        biz_dates = [str(r[BIZ_DATE]) for r in held]
+    if not biz_dates:
+        return
+    named = F.col(BIZ_DATE).isin([F.lit(d).cast("date") for d in biz_dates])
+    existing = table.filter(named)
     cells = [c for c in table.columns if c not in (KEY, BIZ_DATE)]
     merged = land(merge_cells(existing, batch, KEY, cells, order_by, keep=[BIZ_DATE]), "upsert")
-    if named is not None and not merged.filter(~F.coalesce(named, F.lit(False))).isEmpty():
+    if not merged.filter(~F.coalesce(named, F.lit(False))).isEmpty():
         raise DataError(f"the batch holds rows of other dates than {', '.join(biz_dates)}")
     replace_slices(merged, name)
 
@@ -127,15 +138,23 @@ def _date_of(prefix: str) -> Column:
     return F.lit(f"{prefix[:4]}-{prefix[4:6]}-{prefix[6:8]}").try_cast("date")
 
 
+def _within(table: DataFrame, prefix: str) -> DataFrame:
+    """The folders in which keys with the prefix can be. A prefix that is no date, or its beginning, prunes nothing."""
+    if len(prefix) >= 8 and prefix[:8].isdigit():
+        return table.filter(F.col(BIZ_DATE) == _date_of(prefix))
+    if prefix.isdigit():
+        return table.filter(F.date_format(BIZ_DATE, "yyyyMMdd").startswith(prefix))
+    return table
+
+
 def prefix_scan(table: DataFrame, prefix: str) -> DataFrame:
-    """Rows whose key starts with the prefix. A prefix with a whole date opens that date's folder only."""
-    rows = table.filter(F.col(KEY).startswith(prefix))
-    return rows.filter(F.col(BIZ_DATE) == _date_of(prefix)) if prefix[:8].isdigit() and len(prefix) >= 8 else rows
+    """Rows whose key starts with the prefix; only folders of dates that fit it are opened."""
+    return _within(table, prefix).filter(F.col(KEY).startswith(prefix))
 
 
 def point_get(table: DataFrame, key: str) -> DataFrame:
     """The row of one key; key order inside the files lets the scan skip the other row groups."""
-    return table.filter((F.col(KEY) == key) & (F.col(BIZ_DATE) == _date_of(key)))
+    return _within(table, key).filter(F.col(KEY) == key)
 
 
 def limit_scan(table: DataFrame, n: int = 10) -> DataFrame:

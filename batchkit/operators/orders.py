@@ -116,8 +116,14 @@ def user_summary(tagged: DataFrame, dedup: bool = False) -> DataFrame:
     count once.
     """
     is_valid = F.col("reason").isNull()
-    # Typed columns are cheap to test, and the test may reach the scan.
-    valid = keep_where(tagged, is_valid) if _is_text(tagged, "amount_source") else tagged.filter(is_valid)
+    typed = not any(_is_text(tagged, c) for c in ("order_id", "user_id", "amount_source"))
+    if typed and EXTRA_CELLS not in tagged.columns:
+        # The same test as plain conjuncts, which the scan takes.
+        amount = F.col("amount_source")
+        present = F.col("order_id").isNotNull() & F.col("user_id").isNotNull()
+        valid = tagged.filter(present & (amount >= 0) & (amount < F.lit(1e28)))
+    else:
+        valid = keep_where(tagged, is_valid)
     if dedup:
         valid = valid.select("order_id", "user_id", "amount").distinct()
     return valid.groupBy("user_id").agg(

@@ -79,7 +79,9 @@ CUSTOMER_SUMMARY = """
 SELECT customer_id,
        count(*) AS line_count,
        count_if(is_cancelled) AS cancelled_lines,
-       cast(bround(sum(cast(quantity AS decimal(18,4)) * cast(unit_price AS decimal(18,4))), 2)
+       count_if(try_cast(quantity AS decimal(18,6)) IS NULL OR try_cast(unit_price AS decimal(19,8)) IS NULL)
+           AS unusable_lines,
+       cast(bround(sum(try_cast(quantity AS decimal(18,6)) * try_cast(unit_price AS decimal(19,8))), 2)
             AS decimal(38,2)) AS total_amount
 FROM {retail}
 WHERE customer_usable
@@ -88,5 +90,9 @@ GROUP BY customer_id
 
 
 def customer_summary(cleaned: DataFrame) -> DataFrame:
-    """Per customer: lines, cancelled lines and exact amount, as SQL over the cleaned table."""
+    """Per customer: lines, cancelled lines and amount, as SQL over the cleaned table.
+
+    Quantities below 1e12 with six decimals and prices below 1e11 with eight enter the sum exactly. Lines with other
+    measures, or none, are counted as unusable and enter no sum.
+    """
     return cleaned.sparkSession.sql(CUSTOMER_SUMMARY, retail=cleaned)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from batchkit.functions.dates import biz_date_key
 from batchkit.operators.checks import require_clean, require_readback, require_rows, summary_violations
-from batchkit.operators.keyed import ensure_table, require_slice, upsert, user_stat_rows
+from batchkit.operators.keyed import ensure_table, replace_slices, require_slice, user_stat_rows
 from batchkit.operators.orders import (
     REQUIRED,
     counts_of,
@@ -19,7 +19,7 @@ from batchkit.operators.orders import (
     tag_rejects,
 )
 from batchkit.session import land
-from batchkit.sources.csv import SOURCE_FILE, text_scan, write_csv
+from batchkit.sources.csv import SOURCE_FILE, require_whole_lines, text_scan, write_csv
 
 
 @dataclass(frozen=True)
@@ -39,22 +39,28 @@ def run_daily(
     table_path: str,
     keep_rejects: bool = True,
     single_file: bool = False,
+    multiline: bool = False,
 ) -> DailyResult:
     """Summarise ``<base>/raw/<YYYYMMDD>`` into ``<base>/result/<YYYYMMDD>`` and the keyed table.
 
     The orders are parsed once into a rollup per user and reject reason, which is written aside;
     the summary and all counts come from it. The rejected records take a second scan, left out
-    with ``keep_rejects=False``. A rerun of a date replaces its result.
+    with ``keep_rejects=False``. A rerun of a date replaces its result, in files and table; the result
+    is checked before anything is replaced. Cells with line breaks need ``multiline`` and raise without.
     """
     key = biz_date_key(biz_date)
     source, target = f"{base}/raw/{key}", f"{base}/result/{key}/user_summary"
-    tagged = tag_rejects(text_scan(spark, source, REQUIRED, flag_extra=True, name_file=True))
+    if not multiline:
+        require_whole_lines(spark, source)
+    scanned = text_scan(spark, source, REQUIRED, flag_extra=True, name_file=True, multiline=multiline)
+    tagged = tag_rejects(scanned)
     rollup = land(order_rollup(tagged), "rollup")
     summary = summary_of(rollup)
     require_rows(summary, f"orders of {biz_date}")
     counts = counts_of(rollup).first()
 
     text = summary_text(summary)
+    require_clean(summary_violations(text))
     write_csv(text, target, single_file)
     if keep_rejects:
         write_csv(
@@ -68,6 +74,6 @@ def run_daily(
 
     rows = user_stat_rows(summary, biz_date, update_time)
     ensure_table(spark, table, rows.schema, table_path)
-    upsert(spark, table, rows, ["update_time"], [biz_date])
+    replace_slices(rows, table)
     require_slice(spark, table, biz_date, counts["users"])
     return DailyResult(counts["valid_rows"], counts["skipped_rows"], counts["users"], target)

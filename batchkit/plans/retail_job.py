@@ -6,25 +6,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from batchkit.operators.profile import collapse_duplicates, quality_report
 from batchkit.operators.retail import COLUMNS, STANDARD_NAMES, clean, coerce_types, normalise
-from batchkit.sources.csv import na_scan, text_scan, write_csv
+from batchkit.sources.csv import na_scan, require_whole_lines, untouched_scan, write_csv
 from batchkit.sources.layers import require_new_layer
 
 SAMPLE_ROWS = 1000
 
 
-def prepare_raw(spark: SparkSession, source: str, raw: str, sample: str | None = None) -> None:
-    """Standard names and column order; optionally a sample of the first rows in key order."""
+def prepare_raw(
+    spark: SparkSession,
+    source: str,
+    raw: str,
+    sample: str | None = None,
+    multiline: bool = False,
+    sample_rows: int = SAMPLE_ROWS,
+) -> list[str]:
+    """Standard names and column order, values as they are; optionally a sample of the first rows in key order.
+
+    Returns the names of columns that are not taken over. Cells with line breaks need ``multiline`` and
+    raise without.
+    """
     require_new_layer(source, raw)
-    rows = normalise(text_scan(spark, source, list(STANDARD_NAMES)))
+    if not multiline:
+        require_whole_lines(spark, source)
+    rows, extra = untouched_scan(spark, source, list(STANDARD_NAMES), multiline)
+    rows = normalise(rows)
     write_csv(rows, raw)
     if sample is not None:
-        write_csv(rows.orderBy(*COLUMNS).limit(SAMPLE_ROWS), sample, single_file=True)
+        write_csv(rows.orderBy(*COLUMNS).limit(sample_rows), sample, single_file=True)
+    return extra
 
 
-def land_typed(spark: SparkSession, raw: str, typed: str) -> DataFrame:
-    """The raw text with types, once as Parquet: every later step reads only its columns."""
+def land_typed(spark: SparkSession, raw: str, typed: str, multiline: bool = False) -> DataFrame:
+    """The raw text with types, once as Parquet: every later step reads only its columns.
+
+    Cells with line breaks need ``multiline`` and raise without.
+    """
     require_new_layer(raw, typed)
-    coerce_types(na_scan(spark, raw, COLUMNS)).write.mode("overwrite").parquet(typed)
+    if not multiline:
+        require_whole_lines(spark, raw)
+    coerce_types(na_scan(spark, raw, COLUMNS, multiline)).write.mode("overwrite").parquet(typed)
     return spark.read.parquet(typed)
 
 
@@ -43,6 +63,7 @@ def profile(typed: DataFrame) -> DataFrame:
         core=("invoice_no", "description", "customer_id", "invoice_date"),
         time="invoice_date",
         top="country",
+        wide=("description",),
     )
 
 
@@ -52,6 +73,7 @@ def write_clean(typed: DataFrame, source: str, target: str, quarantine: str) ->
     """
     require_new_layer(source, target)
     require_new_layer(source, quarantine)
+    require_new_layer(target, quarantine)
     clean(collapse_duplicates(typed)).write.mode("overwrite").parquet(target)
     cleaned = typed.sparkSession.read.parquet(target)
     cleaned.filter("extra_copies > 0").select(*COLUMNS, "extra_copies").write.mode("overwrite").parquet(quarantine)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from batchkit.operators.checks import require_rows
 from batchkit.operators.scores import SCORE_SCHEMA, ScoreNames, by_total, output_stats, score_clean, score_summary
+from batchkit.session import land
 from batchkit.sources.csv import typed_scan, write_csv
 
 
@@ -28,9 +29,11 @@ def run_scores(
 ) -> ScoreResult:
     """Write the score summary of the CSV at ``source`` to ``target``.
 
-    The source is read once. The statistics come from what was written.
+    The source is read once and its result set aside; an earlier result is only replaced by one that
+    has rows. The statistics come from what was written.
     """
-    summary = score_summary(score_clean(typed_scan(spark, source, SCORE_SCHEMA, strict), names), names)
+    summary = land(score_summary(score_clean(typed_scan(spark, source, SCORE_SCHEMA, strict), names), names), "scores")
+    require_rows(summary, source)
     write_csv(by_total(summary, names), target, single_file)
     written = typed_scan(spark, target, _text_with_average(summary.schema, names), strict=True)
     require_rows(written, target)

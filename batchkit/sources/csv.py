@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from batchkit.errors import DataError
 from batchkit.functions.dates import TIME_FORMAT
 from batchkit.functions.text import na_to_null, strip_or_empty
 from batchkit.operators.checks import require_columns
@@ -86,12 +87,36 @@ def text_scan(
         columns.append(F.col("_metadata.file_path").alias(SOURCE_FILE))
     if flag_extra:
         # The record is kept only where the number of cells is off; separators inside quotes do not count.
-        bare = F.regexp_replace(F.col(_RECORD), r'"([^"]|"")*"', "")
+        # Doubled quotes fall into pairs by themselves; a pattern with a group would recurse once per character.
+        bare = F.regexp_replace(F.col(_RECORD), r'"[^"]*"', "")
         cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
         columns.append(F.coalesce(cells > len(trimmed), F.lit(False)).alias(EXTRA_CELLS))
     return df.select(*columns)
 
 
+def require_whole_lines(spark: SparkSession, path: str) -> None:
+    """Raise if a line has an odd number of quotes: a record goes on in the next line, and needs ``multiline``.
+
+    Scans without ``multiline`` would take its lines for records of their own.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    if not spark.read.text(path).filter(quotes % 2 == 1).isEmpty():
+        raise DataError(f"{path} has cells with line breaks: read it with multiline=True")
+
+
+def untouched_scan(
+    spark: SparkSession, path: str, required: Sequence[str], multiline: bool = False
+) -> tuple[DataFrame, list[str]]:
+    """The required columns as text exactly as written, and the names of the other columns."""
+    names = header(spark, path, multiline)
+    trimmed = [name.strip() for name in names]
+    require_columns(trimmed, required)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    df = _reader(spark, multiline).option("enforceSchema", False).schema(schema).csv(path)
+    rows = df.select(*[F.col(f"`{raw}`").alias(name) for raw, name in zip(names, trimmed) if name in required])
+    return rows, [name for name in trimmed if name not in required]
+
+
 def na_scan(spark: SparkSession, path: str, expected: Sequence[str], multiline: bool = False) -> DataFrame:
     """Scan the expected columns as text, in that order, with missing-value tokens as NULL.
 

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from batchkit.sources.files import file_manifest
 from batchkit.catalog import QUERIES
 from batchkit.catalog.keyed import keyed_table
 from batchkit.catalog.sources import dated_events
@@ -86,7 +87,7 @@ def test_code_table_is_broadcast(spark):
 
 
 def test_file_manifest_does_not_read_content(spark):
-    assert "content" not in scanned(plan(QUERIES["file_manifest"](spark, SF_DIR)))
+    assert "content" not in scanned(plan(file_manifest(spark, SF_DIR)))
 
 
 def test_dates_with_most_rows_are_written_by_several_tasks(spark):
@@ -106,3 +107,7 @@ def test_dates_with_most_rows_are_written_by_several_tasks(spark):
     hot = [f for f in spark.read.parquet(path).inputFiles() if "biz_date=2026-01-01" in f]
     assert len(hot) > 4
     assert spark.read.parquet(path).count() == 400_000
+
+
+def test_validity_of_typed_orders_reaches_the_scan(spark):
+    assert "GreaterThanOrEqual(o_totalprice,0.0)" in plan(QUERIES["user_order_summary"](spark, SF_DIR))
