@@ -20,15 +20,13 @@ ALIKE = 0.7  # share of a line's tokens that must be the template's
 VARIABLE = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """The tokens of a line with one space between them, those with a digit as the variable mark.
+def masked(text: Column) -> Column:
+    """A text whose tokens have one space between them, those with a digit as the variable mark; lines stay lines.
 
-    Most lines need neither of the patterns; they are only used where they find something.
+    The whole text goes through each pattern once, so no part of it is worked out again for every line.
     """
-    spaced = F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
-    single = F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " ++", " ")).otherwise(spaced)
-    variable = F.regexp_replace(single, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", VARIABLE)
-    return F.when(single.rlike("[0-9]"), variable).otherwise(single)
+    spaced = F.regexp_replace(text, r" [ \t\r\x0b\f]++|[\t\r\x0b\f][ \t\r\x0b\f]*+", " ")
+    return F.regexp_replace(spaced, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", VARIABLE)
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -41,20 +39,20 @@ def template_lines(
 ) -> DataFrame:
     """(id, digest, line, template) of the lines with a recurring template; ``line`` is the place in the document.
 
-    Equal texts count once. Leaves of one text only are told by a smallest and a largest digest, which combine on the
-    map side. Lines are split once and set aside.
+    Equal texts count once. A template has the size and the leading tokens of its leaf, so it can only recur where the
+    leaf does: leaves of too few texts are told by pairs of leaf and text, without the lines, and left out exactly.
     """
     lines = (
         _documents(docs, id_col, text_col)
-        .select("id", "digest", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-        .select("id", "digest", "line", masked(F.col("content")).alias("content"))
-        .withColumn("size", F.length("content") - F.length(F.translate("content", " ", "")) + 1)
+        .select("id", "digest", F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line", "content"))
+        .withColumn("content", F.trim("content"))
+        .withColumn("size", F.octet_length("content") - F.octet_length(F.replace("content", F.lit(" "), F.lit(""))) + 1)
         .filter(F.col("size") >= least_tokens)
         .withColumn("leaf", F.xxhash64("size", F.substring_index("content", " ", leading)))
+        .select("id", "digest", "line", "leaf", "content")
     )
-    lines = land(lines.select("id", "digest", "line", "leaf", "content"), "split")
-    shared = lines.groupBy("leaf").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    shared = land(shared.filter("low <> high").select("leaf"), "leaves")
+    shared = lines.select("leaf", "digest").distinct().groupBy("leaf").count()
+    shared = land(shared.filter(F.col("count") >= least_documents).select("leaf"), "leaves")
     # The number of leaves grows with the corpus: merged at every size, so that small input shows the plan of large.
     found = lines.join(shared.hint("merge"), "leaf").withColumn("key", F.unhex(F.md5("content")))
     found = land(found, "lines")
