@@ -33,7 +33,9 @@ END_ID = 1
 SHARD_TOKENS = 4 << 20
 STEP = 512  # bits between stored counts
 MAGIC = b"WVMATRX1"
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 20
+CACHED_CHARS = 64  # longer words are not kept
+JOINED_WORDS = 4096  # words encoded in one call
 
 # The tokenizer cuts at white space, and between a letter and a full stop or comma. Only Latin letters are cut off:
 # normalising or lower case turns some others, and the dotted capital I, into a letter and a mark.
@@ -162,7 +164,7 @@ def load_tokenizer(path: str) -> tokenizers.Tokenizer:
 
 
 class WordEncoder:
-    """Encodes texts part by part; parts already encoded are kept, up to ``CACHED_WORDS`` of them.
+    """Encodes texts word by word, words part by part; both are kept, up to ``CACHED_WORDS`` of them.
 
     Special tokens inside a text contain no space and stay within a part unless they follow a letter's full stop or
     comma, where a part begins anyway.
@@ -170,19 +172,53 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known: dict[str, list[int]] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+        self.long: list[str] = []
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [_PARTS.findall(text) for text in texts]
-        fresh = list({part for own in parts for part in own}.difference(self.known))
-        for part, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[part] = found.ids
-        known = self.known
-        result = [np.fromiter((i for part in own for i in known[part]), np.int64) for own in parts]
-        if len(known) > CACHED_WORDS:
-            known.clear()
+        words = [text.replace("\n", " ").split(" ") for text in texts]
+        fresh = {word for own in words for word in own}.difference(self.known)
+        self._learn(fresh)
+        result = [np.frombuffer(b"".join(map(self.known.__getitem__, own)), self.kind) for own in words]
+        for word in self.long:
+            del self.known[word]
+        if len(self.known) > CACHED_WORDS:
+            self.known = {"": b""}
         return result
 
+    def _learn(self, words: set[str]) -> None:
+        parts = {word: _PARTS.findall(word) for word in words}
+        missing = {part for own in parts.values() for part in own}.difference(self.known)
+        learnt: dict[str, bytes] = {}
+        # A word of ASCII letters is one unit of the tokenizer in any surroundings; upper case makes no difference.
+        plain = sorted({part.lower() for part in missing if part.isascii() and part.isalpha()})
+        for start in range(0, len(plain), JOINED_WORDS):
+            group = plain[start : start + JOINED_WORDS]
+            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, self.kind)
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) == len(group):
+                learnt.update(zip(group, (a.tobytes() for a in np.split(ids, ends[:-1]))))
+        rest = [part for part in missing if not part.isascii() or part.lower() not in learnt]
+        for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            learnt[part] = np.array(found.ids, self.kind).tobytes()
+        for part in missing:
+            learnt[part] = learnt[part] if part in learnt else learnt[part.lower()]
+        known = self.known
+        for word, own in parts.items():
+            learnt[word] = b"".join(learnt[part] if part in learnt else known[part] for part in own)
+        known.update(learnt)
+        self.long = [word for word in learnt if len(word) > CACHED_CHARS]
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One per Python worker: its tasks share the words."""
+    return WordEncoder(path)
+
 
 def write_shards(
     docs: DataFrame,
@@ -205,7 +241,7 @@ def write_shards(
     rows = rows.sortWithinPartitions("id", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(path)
+        encode = word_encoder(path)
         bits = max(encode.tokenizer.get_vocab_size() - 1, end_id, 1).bit_length()
         kind = np.uint16 if bits <= 16 else np.uint32
         partition, turn = TaskContext.get().partitionId(), 0
