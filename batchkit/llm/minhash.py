@@ -31,6 +31,7 @@ BAND = 5
 BANDS = REGISTERS // BAND
 EMPTY = 0xFFFF
 CACHED_WORDS = 1 << 20
+TILE = 256  # members of a bucket that are compared with as many others in one place
 
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -120,18 +121,74 @@ def estimate(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: n
     return (equal - by_chance) / count, count
 
 
-def _plausible(minimum: float):
-    """A filter that lets pass what can reach the minimum within five standard deviations of the estimate."""
+def can_reach(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, minimum: float) -> np.ndarray:
+    """Whether sketches row by row can have the minimum similarity within five standard deviations of the estimate."""
+    similarity, count = estimate(left, right, n_left, n_right)
+    return similarity >= minimum - 5 * np.sqrt(minimum * (1 - minimum) / count)
+
 
+def _plausible(minimum: float):
     @F.pandas_udf(T.BooleanType())
     def test(left: pd.Series, right: pd.Series, n_left: pd.Series, n_right: pd.Series) -> pd.Series:
         sketches = [np.frombuffer(b"".join(s), np.uint16).reshape(-1, REGISTERS) for s in (left, right)]
-        similarity, count = estimate(*sketches, n_left.to_numpy(float), n_right.to_numpy(float))
-        return pd.Series(similarity >= minimum - 5 * np.sqrt(minimum * (1 - minimum) / count))
+        return pd.Series(can_reach(*sketches, n_left.to_numpy(float), n_right.to_numpy(float), minimum))
 
     return test
 
 
+class _Tiles:
+    """Plausible pairs inside runs of rows with one (bucket, low, high); rows are sorted by these."""
+
+    COLUMNS = ("bucket", "low", "high", "slice", "node", "comp", "n")
+
+    def __init__(self, minimum: int):
+        self.minimum = minimum
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [np.asarray(batch.column(c)) for c in self.COLUMNS]
+            sketches = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            now = [np.concatenate(x) for x in zip(held, [*new, sketches])] if held else [*new, sketches]
+            key = np.stack(now[:3], axis=1)
+            # The last run may go on in the next batch.
+            last = len(key) - int(np.argmax((key[::-1] != key[-1]).any(axis=1))) if (key != key[-1]).any() else 0
+            held = [x[last:] for x in now]
+            if last:
+                yield self.pairs([x[:last] for x in now])
+        if held:
+            yield self.pairs(held)
+
+    def pairs(self, columns: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, low, high, part, node, comp, n, sketches = columns
+        run = np.cumsum(np.r_[0, (np.diff(bucket) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)])
+        own: dict[int, np.ndarray] = {}
+
+        def first_band(i: int, j: int) -> int:
+            """The first bucket two rows share; there the pair is told, in the others it is not."""
+            for row in (i, j):
+                if row not in own:
+                    own[row] = bands(sketches[row])
+            return own[i][np.argmax(own[i] == own[j])]
+
+        found: list[tuple[int, int]] = []
+        for step in range(1, len(run)):
+            i = np.flatnonzero(run[:-step] == run[step:])
+            if not len(i):
+                break
+            j = i + step
+            least, most = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            fits = (comp[i] != comp[j]) & ((low[i] == high[i]) | (part[i] != part[j])) & (100 * least >= self.minimum * most)
+            i, j = i[fits], j[fits]
+            if len(i):
+                likely = can_reach(sketches[i], sketches[j], n[i].astype(float), n[j].astype(float), self.minimum / 100)
+                found += [(a, b) for a, b in zip(i[likely].tolist(), j[likely].tolist()) if first_band(a, b) == bucket[a]]
+        ends = np.sort(node[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
     """Per row: id, ``n`` (set size), ``key`` (digest of the words), ``registers`` and ``bands`` (null for an empty set)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
@@ -219,10 +276,9 @@ def _drawn(links: DataFrame, labels: DataFrame) -> DataFrame:
 class _Linker:
     """Finds the links between classes that share a band, component by component."""
 
-    def __init__(self, classes: DataFrame, members: DataFrame, sets: DataFrame, minimum: int):
-        self.spark = classes.sparkSession
-        self.members, self.sets, self.minimum = members, sets, minimum
-        self.sketches = classes.select("node", "n", "registers")
+    def __init__(self, sketches: DataFrame, members: DataFrame, sets: DataFrame, minimum: int):
+        self.spark = sketches.sparkSession
+        self.sketches, self.members, self.sets, self.minimum = sketches, members, sets, minimum
         nodes = members.select("node").distinct()
         self.labels = land(nodes.select("node", F.col("node").alias("comp")), "labels")
         self.tested: DataFrame | None = None
@@ -248,36 +304,52 @@ class _Linker:
         return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
 
     def rest(self) -> DataFrame:
-        """All pairs of different components that share a bucket."""
+        """All pairs of different components that share a bucket and can be similar enough, each once.
+
+        The members of a bucket are dealt to slices of about ``TILE``; every two slices meet in one place, where their
+        sketches are compared. Only plausible pairs leave it.
+        """
         rows = land(self.labelled(), "labelled")
-        mixed = rows.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        rows = land(rows.join(land(mixed.filter("low <> high").select("bucket"), "mixed"), "bucket"), "open")
-        left = rows.select("bucket", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-        right = rows.select("bucket", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-        return left.join(right, "bucket").filter("a < b AND comp_a <> comp_b").select("a", "b")
-
-    def link(self, pairs: DataFrame) -> None:
-        """Test pairs not tested before and join the components of those that are similar enough."""
-        fresh = pairs.distinct()
+        mixed = rows.groupBy("bucket").agg(
+            F.min("comp").alias("min"), F.max("comp").alias("max"), F.ceil(F.count(F.lit(1)) / TILE).alias("slices")
+        )
+        mixed = land(mixed.filter("min <> max").select("bucket", "slices"), "mixed")
+        rows = rows.join(mixed, "bucket").withColumn("slice", F.pmod(F.xxhash64("node", F.lit("slice")), "slices"))
+        rows = rows.join(self.sketches, "node")
+        met = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)))
+        met = met.select(
+            "bucket", F.least("slice", "other").alias("low"), F.greatest("slice", "other").alias("high"),
+            "slice", "node", "comp", "n", "registers",
+        )
+        key = ["bucket", "low", "high"]
+        dealt = met.repartition(*key).sortWithinPartitions(*key)
+        return dealt.mapInArrow(_Tiles(self.minimum), "a bigint, b bigint")
+
+    def link(self, pairs: DataFrame, likely: bool = False) -> None:
+        """Test pairs not tested before and join the components of those that are similar enough.
+
+        ``likely``: the pairs are distinct and plausible already.
+        """
+        fresh = pairs if likely else pairs.distinct()
         if self.tested is not None:
             fresh = fresh.join(self.tested, ["a", "b"], "left_anti")
         fresh = land(fresh, "pairs")
-        self.tested = fresh if self.tested is None else land(self.tested.unionByName(fresh), "tested")
+        self.tested = fresh if self.tested is None else self.tested.unionByName(fresh)
         for end in ("a", "b"):
-            ends = self.sketches.select(
-                F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("registers").alias(f"registers_{end}")
-            )
+            facts = ["n"] if likely else ["n", "registers"]
+            ends = self.sketches.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in facts])
             fresh = fresh.join(ends, end)
-        least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        sized = fresh.filter(100 * least >= self.minimum * most)
-        likely = sized.filter(_plausible(self.minimum / 100)("registers_a", "registers_b", "n_a", "n_b"))
-        likely = land(likely.select("a", "b", "n_a", "n_b"), "likely")
+        if not likely:
+            least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+            sized = fresh.filter(100 * least >= self.minimum * most)
+            fresh = sized.filter(_plausible(self.minimum / 100)("registers_a", "registers_b", "n_a", "n_b"))
+        checked = land(fresh.select("a", "b", "n_a", "n_b"), "likely")
         for end in ("a", "b"):
             ends = self.sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
-            likely = likely.join(ends, end)
+            checked = checked.join(ends, end)
         shared = F.size(F.array_intersect("set_a", "set_b"))
         similar = 100 * shared >= self.minimum * (F.col("n_a") + F.col("n_b") - shared)
-        self.labels = relabel(self.labels, land(likely.filter(similar).select("a", "b"), "links"), self.spark)
+        self.labels = relabel(self.labels, land(checked.filter(similar).select("a", "b"), "links"), self.spark)
 
 
 def near_duplicates(
@@ -307,16 +379,17 @@ def near_duplicates(
     banded = classes.select("node", F.explode("bands").alias("bucket"))
     shared = land(banded.groupBy("bucket").count().filter("count > 1").select("bucket"), "buckets")
     members = land(banded.join(shared, "bucket"), "members")
-    wanted = land(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "id", "key"), "wanted")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = land(wanted.select("node", "id", "key", "n", "registers"), "wanted")
     sets = land(shingle_sets(docs, wanted, id_col, text_col, shingle_words), "sets")
 
-    linker = _Linker(classes, members, sets, minimum)
+    linker = _Linker(wanted.select("node", "n", "registers"), members, sets, minimum)
     for turn in range(8):
         linker.link(linker.star(turn))
         pairs, rows_open = linker.open_pairs()
         if pairs <= 4 * rows_open:
             break
-    linker.link(linker.rest())
+    linker.link(linker.rest(), likely=True)
 
     of_node = classes.select("node", "id", "key").join(linker.labels, "node", "left")
     of_node = land(of_node.select("id", "key", F.coalesce("comp", "node").alias("comp")), "components")

@@ -5,6 +5,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -142,6 +143,34 @@ def test_near_copies_against_brute_force(spark):
     assert got == brute_components(texts, 4)
 
 
+def test_tiles_give_each_plausible_pair_once():
+    random = np.random.default_rng(4)
+    base = [minhash.registers(np.unique(random.integers(0, 1 << 63, 300, np.uint64) * np.uint64(2))) for _ in range(3)]
+    sketches = []
+    for i in range(60):
+        own = base[i % 3].copy()
+        changed = random.choice(256, random.integers(0, 90), replace=False)
+        own[changed] = random.integers(0, 5000, len(changed))
+        sketches.append(own)
+    comp, part = random.integers(0, 4, 60), random.integers(0, 3, 60)
+    banded = [minhash.bands(s) for s in sketches]
+    rows = []
+    for i in range(60):
+        for bucket in banded[i].tolist():
+            rows += [(bucket, min(part[i], t), max(part[i], t), part[i], i, comp[i], 300) for t in range(3)]
+    rows.sort(key=lambda r: r[:3])
+    table = pa.table({c: pa.array([int(r[k]) for r in rows]) for k, c in enumerate(minhash._Tiles.COLUMNS)})
+    table = table.append_column("registers", pa.array([sketches[r[4]].tobytes() for r in rows]))
+    want = []
+    for a, b in itertools.combinations(range(60), 2):
+        pair = [np.array([x]) for x in (sketches[a], sketches[b])]
+        if comp[a] != comp[b] and (banded[a] == banded[b]).any():
+            want += [(a, b)] * bool(minhash.can_reach(*pair, np.array([300.0]), np.array([300.0]), 0.8)[0])
+    for size in (7, 1000, len(rows)):
+        got = [p for out in minhash._Tiles(80)(iter(table.to_batches(size))) for p in zip(*(out.column(c).to_pylist() for c in "ab"))]
+        assert sorted(got) == want and want
+
+
 def test_mix_keeps_to_its_targets(spark, odd):
     mixed = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))
     for r in mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("size")).collect():
