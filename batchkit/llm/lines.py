@@ -1,8 +1,10 @@
 """Line deduplication with a log-template tree of fixed depth.
 
-Lines go down the tree by their number of tokens and their first tokens; tokens with a digit count as variable. In a
-leaf, a place where no token prevails is variable too, and lines that agree with the leaf's constant tokens share its
-template. Templates that recur across documents are dropped wherever they stand.
+Lines go down the tree by their number of tokens and their first tokens; tokens with a digit count as variable. Wildcard
+branches leave one of the first tokens open, or lead by the last tokens. In a leaf a token is constant if enough
+different lines have it in its place. Small and large templates mixed in one leaf are told apart by levels: a line has
+a name per level, its tokens constant at that level with the others variable, if these are two thirds or more. Names
+that recur across documents are templates, and so is every masked line that does; their lines are dropped.
 """
 
 from __future__ import annotations
@@ -15,8 +17,7 @@ from batchkit.session import land
 LEADING = 3  # tokens that lead through the tree
 LEAST_TOKENS = 5  # shorter lines are never templates: they recur by themselves
 LEAST_DOCUMENTS = 8  # different texts a template must be in
-PREVAILS = 0.6  # share of a leaf's lines that makes a token constant
-ALIKE = 0.7  # share of a line's tokens that must be the template's
+LEVELS = tuple(2 * 4**i for i in range(12))  # different lines of a leaf that must hold a token, level by level
 VARIABLE = "<*>"
 
 
@@ -34,50 +35,84 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("digest"))
 
 
+def _branches(leading: int) -> Column:
+    """The leaves of a line: by its first tokens, with one of them open, and by its last tokens."""
+    head = F.split(F.substring_index("content", " ", leading + 1), " ")
+    first = F.xxhash64("size", F.substring_index("content", " ", leading))
+    others = lambda i: F.filter(head, lambda _, place: place != i)
+    open_at = [F.xxhash64("size", F.lit(i), F.concat_ws(" ", others(i))) for i in range(leading)]
+    last = F.xxhash64("size", F.lit(-1), F.substring_index("content", " ", -leading))
+    return F.when(F.col("size") > leading, F.array(first, *open_at, last)).otherwise(F.array(first))
+
+
+def _names(items: Column) -> Column:
+    """The names of a line at every level; ``items`` are its tokens with the number of lines that share each."""
+    constant = lambda x, level: (x["n"] >= level) | (x["token"] == VARIABLE)
+    levels = F.filter(
+        F.array(*[F.lit(v) for v in LEVELS]),
+        lambda level: 3 * F.size(F.filter(items, lambda x: constant(x, level))) >= 2 * F.size(items),
+    )
+    name = lambda level: F.transform(items, lambda x: F.when(constant(x, level), x["token"]).otherwise(F.lit(VARIABLE)))
+    return F.array_distinct(F.transform(levels, lambda level: F.array_join(name(level), " ")))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, least_tokens: int) -> DataFrame:
+    return (
+        _documents(docs, id_col, text_col)
+        .select("id", "digest", F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line", "content"))
+        .withColumn("content", F.trim("content"))
+        .withColumn("size", F.octet_length("content") - F.octet_length(F.replace("content", F.lit(" "), F.lit(""))) + 1)
+        .filter((F.col("content") != "") & (F.col("size") >= least_tokens))
+        .withColumn("key", F.unhex(F.md5("content")))
+    )
+
+
 def template_lines(
     docs: DataFrame, id_col: str, text_col: str, least_documents: int, leading: int, least_tokens: int
 ) -> DataFrame:
     """(id, digest, line, template) of the lines with a recurring template; ``line`` is the place in the document.
 
-    Equal texts count once. A template has the size and the leading tokens of its leaf, so it can only recur where the
-    leaf does: leaves of too few texts are told by pairs of leaf and text, without the lines, and left out exactly.
+    Equal texts count once. Two texts are told by their smallest and largest digest, which combine on the map side. What
+    can't recur is left out exactly: leaves of one text, then leaves with shared tokens in too few places.
     """
-    lines = (
-        _documents(docs, id_col, text_col)
-        .select("id", "digest", F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line", "content"))
-        .withColumn("content", F.trim("content"))
-        .withColumn("size", F.octet_length("content") - F.octet_length(F.replace("content", F.lit(" "), F.lit(""))) + 1)
-        .filter(F.col("size") >= least_tokens)
-        .withColumn("leaf", F.xxhash64("size", F.substring_index("content", " ", leading)))
-        .select("id", "digest", "line", "leaf", "content")
+    lines = _lines(docs, id_col, text_col, least_tokens)
+    kinds = lines.groupBy("key").agg(
+        F.min("content").alias("content"), F.min("size").alias("size"), F.min("digest").alias("low"), F.max("digest").alias("high")
     )
-    shared = lines.select("leaf", "digest").distinct().groupBy("leaf").count()
-    shared = land(shared.filter(F.col("count") >= least_documents).select("leaf"), "leaves")
+    kinds = land(kinds, "kinds")
+    routed = kinds.select("key", "low", "high", F.explode(_branches(leading)).alias("leaf"))
+    shared = routed.groupBy("leaf").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n"))
+    shared = land(shared.filter("n > 1 AND low <> high").select("leaf"), "leaves")
     # The number of leaves grows with the corpus: merged at every size, so that small input shows the plan of large.
-    found = lines.join(shared.hint("merge"), "leaf").withColumn("key", F.unhex(F.md5("content")))
-    found = land(found, "lines")
-
-    kinds = found.groupBy("leaf", "key").agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n"))
-    kinds = land(kinds.withColumn("tokens", F.split("content", " ")).drop("content"), "kinds")
-    places = kinds.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
-    counted = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
-    most = counted.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("all"))
-    constant = F.when(F.col("top.n") >= PREVAILS * F.col("all"), F.col("top.token")).otherwise(F.lit(VARIABLE))
-    leaves = most.select("leaf", F.struct("place", constant.alias("token")).alias("at"))
-    leaves = leaves.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list("at")), lambda x: x["token"]).alias("model"))
-    leaves = land(leaves, "models")
-
-    together = F.zip_with("tokens", "model", lambda a, b: F.when(a == b, a).otherwise(F.lit(VARIABLE)))
-    kept = F.size(F.filter(F.zip_with("tokens", "model", lambda a, b: a == b), lambda x: x))
-    chosen = F.when(kept >= ALIKE * F.size("tokens"), together).otherwise(F.col("tokens"))
-    named = kinds.join(leaves, "leaf").select("leaf", "key", F.array_join(chosen, " ").alias("template"))
-    named = land(named.withColumn("name", F.unhex(F.md5("template"))), "named")
-    placed = found.select("id", "digest", "line", "leaf", "key").join(named.select("leaf", "key", "name"), ["leaf", "key"])
-    placed = land(placed, "placed")
-    texts = placed.select("name", "digest").distinct().groupBy("name").count()
-    recurring = land(texts.filter(F.col("count") >= least_documents).select("name"), "recurring")
-    texts_of = named.groupBy("name").agg(F.min("template").alias("template")).join(recurring, "name")
-    return placed.join(land(texts_of, "templates"), "name").select("id", "digest", "line", "template")
+    open_kinds = routed.select("leaf", "key").join(shared.hint("merge"), "leaf")
+    open_kinds = open_kinds.groupBy("key").agg(F.collect_set("leaf").alias("leaves"))
+    found = kinds.select("key", "content").join(open_kinds.hint("merge"), "key")
+    found = land(found.withColumn("tokens", F.split("content", " ")).drop("content"), "found")
+
+    in_leaf = found.select("key", "tokens", F.explode("leaves").alias("leaf"))
+    places = in_leaf.select("leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
+    counted = places.groupBy("leaf", "size", "place", F.xxhash64("token").alias("token")).agg(F.count(F.lit(1)).alias("n"))
+    counted = land(counted.filter("n > 1"), "counted")
+    rich = counted.groupBy("leaf").agg(F.count_distinct("place").alias("places"), F.max("size").alias("size"))
+    rich = land(rich.filter("3 * places >= 2 * size").select("leaf"), "rich")
+    counted = counted.join(rich.hint("merge"), "leaf").select("leaf", "place", F.col("token").alias("hash"), "n")
+    tokens = found.select("key", "tokens", F.explode("leaves").alias("leaf")).join(rich.hint("merge"), "leaf")
+    tokens = tokens.select("leaf", "key", F.posexplode("tokens").alias("place", "token")).withColumn("hash", F.xxhash64("token"))
+    items = tokens.join(counted.hint("merge"), ["leaf", "place", "hash"], "left").groupBy("leaf", "key")
+    items = items.agg(F.array_sort(F.collect_list(F.struct("place", "token", F.coalesce("n", F.lit(1)).alias("n")))).alias("items"))
+    named = land(items.select("key", F.explode(_names(F.col("items"))).alias("template")).distinct(), "named")
+    exact = kinds.filter("low <> high").select("key", F.col("content").alias("template"), "low", "high")
+    named = named.join(kinds.select("key", "low", "high").hint("merge"), "key").unionByName(exact)
+    named = named.withColumn("name", F.unhex(F.md5("template")))
+    recurring = named.groupBy("name").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    recurring = recurring.filter("low <> high").select("name")
+    if least_documents > 2:
+        texts = lines.select("key", "digest").join(named.select("key", "name"), "key").select("name", "digest").distinct()
+        enough = texts.groupBy("name").count().filter(F.col("count") >= least_documents).select("name")
+        recurring = recurring.join(enough, "name")
+    templates = named.join(recurring.hint("merge"), "name").groupBy("key").agg(F.min("template").alias("template"))
+    templates = land(templates, "templates")
+    return lines.select("id", "digest", "line", "key").join(templates.hint("merge"), "key").drop("key")
 
 
 def drop_recurring_lines(
