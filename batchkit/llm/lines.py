@@ -16,7 +16,7 @@ from batchkit.session import land
 
 LEADING = 3  # tokens that lead through the tree
 LEAST_TOKENS = 5  # shorter lines are never templates: they recur by themselves
-LEAST_DOCUMENTS = 8  # different texts a template must be in
+LEAST_DOCUMENTS = 2  # different texts a template must be in
 LEVELS = tuple(2 * 4**i for i in range(12))  # different lines of a leaf that must hold a token, level by level
 VARIABLE = "<*>"
 

@@ -61,3 +61,19 @@ def test_word_fields_and_mixed_leaves(spark):
     got = {(r.id, r.line) for r in lines.template_lines(df, "doc_id", "text", 8, 3, 5).collect()}
     assert got == brute_template_lines(texts, 8, 3, 5)
     assert got == {(i, 0) for i, t in texts.items() if i < 200}
+
+
+def shared_lines(texts, least_tokens):
+    """(id, line) of the lines whose masked content is in two different texts."""
+    of = defaultdict(set)
+    placed = [(i, at, tuple(w)) for i, t in texts.items() for at, w in masked_lines(t or "") if len(w) >= least_tokens]
+    for i, _, w in placed:
+        of[w].add(texts[i])
+    return {(i, at) for i, at, w in placed if len(of[w]) > 1}
+
+
+def test_lines_of_two_texts_are_dropped(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    shared = shared_lines({r.doc_id: r.text for r in docs.collect()}, 5)
+    found = lines.template_lines(docs, "doc_id", "text", lines.LEAST_DOCUMENTS, lines.LEADING, 5)
+    assert shared and shared <= {(r.id, r.line) for r in found.collect()}
