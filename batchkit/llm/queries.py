@@ -165,5 +165,5 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.drop_recurring_lines(documents(spark, sf_dir))
+    cleaned = lines.drop_recurring_lines(documents(spark, sf_dir), least_tokens=1)
     return cleaned.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")

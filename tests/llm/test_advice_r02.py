@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 from batchkit.llm import lines
+from batchkit.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -77,3 +78,13 @@ def test_lines_of_two_texts_are_dropped(spark):
     shared = shared_lines({r.doc_id: r.text for r in docs.collect()}, 5)
     found = lines.template_lines(docs, "doc_id", "text", lines.LEAST_DOCUMENTS, lines.LEADING, 5)
     assert shared and shared <= {(r.id, r.line) for r in found.collect()}
+
+
+def test_query_drops_short_lines(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    least = defaultdict(int)
+    for i, _ in shared_lines(texts, 1):
+        least[i] += 1
+    got = {r.doc_id: r.n_dropped for r in QUERIES["op9_line_templates"](spark, SF).collect()}
+    assert least and all(got[i] >= n for i, n in least.items())
