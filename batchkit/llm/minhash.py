@@ -352,24 +352,8 @@ class _Linker:
         self.labels = relabel(self.labels, land(checked.filter(similar).select("a", "b"), "links"), self.spark)
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle_words: int = 5,
-    minimum: int = 80,
-) -> DataFrame:
-    """Per row: id, ``n_shingles``, ``component_id`` (smallest id linked over any path), ``kept``.
-
-    Documents are linked if 100 * shared shingles >= ``minimum`` * all shingles of both. Rows with the same words are
-    one class, so exact copies cost nothing beyond their row. In every bucket a centre is tested against members of
-    other components, with new centres as long as many pairs are open; the last step tests all pairs that are still in
-    different components, so no link between components is lost and large groups of copies are never paired up.
-
-    A null or empty text has no shingles and is linked with nothing. Rows without id take part; an id is null only if
-    all rows of the component lack one. Rows that repeat an id are rows of their own. Other columns are not read. An
-    empty table gives no rows.
-    """
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, minimum: int) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows, and (id, key, comp) per class of rows with the same words: its smallest id and its component."""
     spark = docs.sparkSession
     rows = land(sketch(docs, id_col, text_col, shingle_words), "sketches")
     grouped = rows.filter("n > 0").groupBy("key").agg(
@@ -393,6 +377,28 @@ def near_duplicates(
 
     of_node = classes.select("node", "id", "key").join(linker.labels, "node", "left")
     of_node = land(of_node.select("id", "key", F.coalesce("comp", "node").alias("comp")), "components")
+    return rows, of_node
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    minimum: int = 80,
+) -> DataFrame:
+    """Per row: id, ``n_shingles``, ``component_id`` (smallest id linked over any path), ``kept``.
+
+    Documents are linked if 100 * shared shingles >= ``minimum`` * all shingles of both. Rows with the same words are
+    one class, so exact copies cost nothing beyond their row. In every bucket a centre is tested against members of
+    other components, with new centres as long as many pairs are open; the last step tests all pairs that are still in
+    different components, so no link between components is lost and large groups of copies are never paired up.
+
+    A null or empty text has no shingles and is linked with nothing. Rows without id take part; an id is null only if
+    all rows of the component lack one. Rows that repeat an id are rows of their own. Other columns are not read. An
+    empty table gives no rows.
+    """
+    rows, of_node = _components(docs, id_col, text_col, shingle_words, minimum)
     smallest = land(of_node.groupBy("comp").agg(F.min("id").alias("component_id")), "smallest")
     by_key = land(of_node.join(smallest, "comp").select("key", "component_id"), "by-key")
     full = rows.filter("n > 0").select("id", "n", "key").join(by_key, "key").select("id", "n", "component_id")
@@ -405,16 +411,37 @@ def near_duplicates(
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows that stay, with all their columns: of each component the one with the smallest id.
+@F.pandas_udf(T.BinaryType())
+def _words_key(texts: pd.Series) -> pd.Series:
+    """The digest of the words, as ``sketch`` has it."""
+    words = (Shingler.words(None if t is None else bytes(t)) for t in texts)
+    return pd.Series([hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words], dtype=object)
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, minimum: int = 80
+) -> DataFrame:
+    """The rows that stay, with all their columns: of each component one with the smallest id, if it has any.
 
-    Rows that repeat id and text leave one.
+    Where that id repeats, the words decide: of its rows in the component those with the smallest digest are alike, and
+    one stays. Rows without shingles stay; those that repeat id and text leave one.
     """
-    decided = near_duplicates(docs, id_col, text_col, **options).filter("kept")
-    stays = land(decided.groupBy(F.col(f"`{id_col}`").alias("_stay_id")).agg(F.count(F.lit(1)).alias("_stay_rows")), "stays")
+    rows, of_node = _components(docs, id_col, text_col, shingle_words, minimum)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+    keepers = of_node.groupBy("comp").agg(first).select("first.id", "first.key")
+    stays = keepers.unionByName(rows.filter("n = 0").select("id", "key").distinct())
+    counts = rows.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_stay_rows"))
+    stays = stays.join(counts, F.col("id").eqNullSafe(F.col("_id")))
+    stays = land(stays.select(F.col("id").alias("_stay_id"), F.col("key").alias("_stay_key"), "_stay_rows"), "stays")
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("_stay_id"))
     once = docs.join(stays.filter("_stay_rows = 1"), same, "left_semi")
     several = stays.filter("_stay_rows > 1")
     if several.isEmpty():
         return once
-    return once.unionByName(docs.join(several, same, "left_semi").dropDuplicates([id_col, text_col]))
+    # Ids that rows share are told apart by their words.
+    keyed = docs.join(several.select("_stay_id").distinct(), same, "left_semi")
+    keyed = keyed.withColumn("_key", _words_key(F.col(f"`{text_col}`").cast("binary")))
+    keyed = keyed.join(several, same & (F.col("_key") == F.col("_stay_key")), "left_semi")
+    empty = F.when(F.col("_key") == F.lit(hashlib.blake2b(b"", digest_size=16).digest()), F.col(f"`{text_col}`"))
+    keyed = keyed.withColumn("_empty", empty).dropDuplicates([id_col, "_key", "_empty"])
+    return once.unionByName(keyed.select(*[F.col(f"`{c}`") for c in docs.columns]))
