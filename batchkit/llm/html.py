@@ -29,9 +29,17 @@ CELLS = 16_384  # blocks, padding included, that are labelled at a time
 PATH_ENDS = 24  # elements of a path's beginning and end that a block's vector has
 
 _ATTRIBUTES = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
+# An element left out that is never closed ends at the next of these.
+_BLOCKS = (
+    "address|article|aside|blockquote|body|center|dd|details|dialog|dir|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|"
+    "header|hgroup|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
+)
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|object|canvas)\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)
+    |<(?P<raw>script|style|textarea|title)\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)
+    |<svg\b{_ATTRIBUTES}(?<=/)>
+    |<(?P<part>noscript|template|svg|iframe|select|object|canvas)\b{_ATTRIBUTES}>
+        (?:(?:(?!<(?P=part)\b).)*?</(?P=part)\s*>|.*?(?=</?(?:{_BLOCKS})\b|\Z))
     |<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attributes>{_ATTRIBUTES})>
     |</?[a-zA-Z!?][^>]*+(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""",
     re.S | re.I | re.X,
