@@ -8,6 +8,7 @@ out, is read from the ledger by bitwise operations without touching a text again
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,21 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_alpha_words")
+# Characters of scripts written without spaces: Thai to Myanmar, Khmer, kana, Bopomofo, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+MEASURES = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_lines",
+    "n_dup_lines",
+    "n_repeat_words",
+    "n_alpha_words",
+    "n_dup_line_words",
+    "n_spaced_words",
+    "spaced_chars",
+)
 MEASURE_TYPE = T.StructType([T.StructField(name, T.LongType()) for name in MEASURES])
 
 
@@ -43,6 +58,8 @@ def _rules() -> tuple[Rule, ...]:
         Rule("short_words", F.col("word_chars") < 2 * words),
         Rule("long_words", F.col("word_chars") > 15 * words),
         Rule("few_letters", 100 * F.col("n_alpha_words") < 70 * words),
+        Rule("repeated_line_words", 100 * F.col("n_dup_line_words") > 30 * words),
+        Rule("long_spaced_words", F.col("spaced_chars") > 15 * F.col("n_spaced_words")),
     )
 
 
@@ -54,6 +71,8 @@ RULE_NAMES = (
     "short_words",
     "long_words",
     "few_letters",
+    "repeated_line_words",
+    "long_spaced_words",
 )
 
 
@@ -66,6 +85,8 @@ BASE = mask_of("few_words", "repeated_windows")
 POLICIES = {
     "base": BASE,
     "v1": BASE | mask_of("many_symbols", "repeated_lines", "short_words", "long_words", "few_letters"),
+    # Repeated lines by their share of words, long words only in scripts written with spaces.
+    "v2": BASE | mask_of("many_symbols", "repeated_line_words", "short_words", "long_spaced_words", "few_letters"),
 }
 CURRENT = "v1"
 
@@ -102,14 +123,19 @@ def measure(text: str | None) -> tuple[int, ...]:
     text = text or ""
     words = WORD.findall(text)
     lines = [line for line in text.split("\n") if WORD.search(line)]
+    again = [line for line, n in Counter(lines).items() for _ in range(n - 1)]
+    spaced = words if text.isascii() else [w for w in words if not UNSPACED.search(w)]
     return (
         len(words),
         sum(map(len, words)),
         sum(map(text.count, SYMBOLS)),
         len(lines),
-        len(lines) - len(set(lines)),
+        len(again),
         repeated_words(words),
         sum(1 for w in words if w[0].isalpha() or w[-1].isalpha()),
+        sum(len(WORD.findall(line)) for line in again),
+        len(spaced),
+        sum(map(len, spaced)),
     )
 
 
