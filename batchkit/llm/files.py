@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs
 
 
@@ -23,3 +24,14 @@ def created(uri: str):
     system, path = fs.FileSystem.from_uri(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
     return system.open_output_stream(path)
+
+
+def save_table(uri: str, table: pa.Table) -> None:
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with created(uri) as sink, pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+        writer.write_table(table)
+
+
+def load_table(uri: str) -> pa.Table:
+    with opened(uri) as source:
+        return pa.ipc.open_stream(source).read_all()

@@ -8,7 +8,7 @@ from inspect import cleandoc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, exact, html, lines, minhash, mixing, quality, tokens, warc, wavelet
+from batchkit.llm import align, bpe, exact, html, lines, minhash, mixing, quality, tokens, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -167,3 +167,8 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.drop_recurring_lines(documents(spark, sf_dir), least_tokens=1)
     return cleaned.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokens(documents(spark, sf_dir))
