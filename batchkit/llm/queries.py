@@ -8,7 +8,7 @@ from inspect import cleandoc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import align, bpe, exact, html, lines, minhash, mixing, quality, tokens, warc, wavelet
+from batchkit.llm import align, bpe, exact, html, lines, minhash, mixing, quality, substrings, tokens, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -172,3 +172,26 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_tokens(documents(spark, sf_dir))
+
+
+@query(
+    r"""
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    windows AS (
+        SELECT doc_id, start, array_to_string(words[start:start + 12], ' ') AS part
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS start FROM texts)),
+    held AS (SELECT doc_id, start FROM windows QUALIFY min(doc_id) OVER (PARTITION BY part) < doc_id),
+    gone AS (
+        SELECT doc_id, list(DISTINCT place) AS places
+        FROM (SELECT doc_id, unnest(range(start, start + 13)) AS place FROM held) GROUP BY doc_id)
+    SELECT doc_id, cast(len(words) AS bigint) AS n_words, cast(coalesce(len(places), 0) AS bigint) AS n_removed,
+           sha256(array_to_string(CASE WHEN places IS NULL THEN words ELSE list_select(
+               words, list_filter(range(1, len(words) + 1), lambda place: NOT list_contains(places, place))) END, ' '))
+               AS kept_sha256
+    FROM texts LEFT JOIN gone USING (doc_id)
+    """
+)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.drop_repeated_passages(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
