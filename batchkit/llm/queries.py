@@ -8,7 +8,7 @@ from inspect import cleandoc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import align, bpe, exact, html, lines, minhash, mixing, quality, substrings, tokens, warc, wavelet
+from batchkit.llm import align, bpe, exact, html, lines, minhash, mixing, quality, search, substrings, tokens, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -195,3 +195,34 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = substrings.drop_repeated_passages(documents(spark, sf_dir))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    r"""
+    WITH texts AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM documents),
+    asked AS (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM texts GROUP BY ALL),
+    sizes AS (SELECT doc_id, cast(sum(tf) AS bigint) AS n FROM tf GROUP BY doc_id),
+    whole AS (SELECT count(*) AS n_documents, cast(sum(n) AS bigint) AS n_terms FROM sizes),
+    weights AS (
+        SELECT term, cast(floor(1000 * ln((2 * n_documents + 2)::double / (2 * count(*) + 1)::double)) AS bigint) AS w
+        FROM tf, whole GROUP BY term, n_documents),
+    parts AS (
+        SELECT tf.doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + ((25 * n * n_documents) // n_terms)))) AS part
+        FROM tf JOIN weights USING (term) JOIN sizes USING (doc_id), whole),
+    scores AS (
+        SELECT item_id, doc_id, cast(sum(part) AS bigint) AS score FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id)
+    SELECT item_id, cast(row_number() OVER best AS integer) AS rank, doc_id, score
+    FROM scores WHERE score > 0 WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 20
+    """
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
