@@ -9,7 +9,8 @@ from batchkit.catalog.registry import query, table
 from batchkit.operators import checks
 from batchkit.operators import orders as ops
 from batchkit.session import scratch_path
-from batchkit.sources.csv import text_scan, write_csv
+from batchkit.sources.csv import SOURCE_FILE, text_scan, write_csv
+from batchkit.sources.records import LINE
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +82,33 @@ def order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.tag_rejects(faulty_orders(spark, sf_dir)).select("o_orderkey", "reason")
 
 
+@query(
+    f"""
+    WITH {FAULTY},
+    placed AS (
+        SELECT o_orderkey, o_orderstatus, 1 + row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS line
+        FROM orders)
+    SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus, line, reason
+    FROM faulty JOIN placed USING (o_orderkey) WHERE reason IS NOT NULL
+    """
+)
+def order_reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records of text files with line breaks in their cells, with the place a serial reader gives them."""
+    rows = faulty_orders(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    note = F.concat(F.lit('two\n"lines", '), F.col("amount"))
+    path = scratch_path(spark, "orders")
+    # One file per status, in the order of keys.
+    placed = rows.withColumn("note", note).repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey")
+    write_csv(placed, path, partition_by=("o_orderstatus",))
+    scanned = text_scan(spark, path, ops.REQUIRED, flag_extra=True, name_file=True, name_line=True, multiline=True)
+    return ops.rejects(ops.tag_rejects(scanned)).select(
+        "o_orderkey",
+        F.regexp_extract(SOURCE_FILE, "o_orderstatus=([A-Z])", 1).alias("o_orderstatus"),
+        F.col(LINE).alias("line"),
+        "reason",
+    )
+
+
 @query(
     f"""
     WITH {FAULTY}

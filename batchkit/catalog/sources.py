@@ -26,6 +26,15 @@ def typed_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.typed_scan(spark, path, rows.schema, strict=True)
 
 
+@query("SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def multiline_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks and quotes, written as CSV and read by as many tasks as the files have splits."""
+    rows = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "multiline")
+    csv.write_csv(rows, path)
+    return csv.typed_scan(spark, path, rows.schema, strict=True, multiline=True)
+
+
 @query("SELECT cast(c_custkey AS varchar) AS c_custkey, c_name, c_mktsegment FROM customer")
 def trimmed_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header and cells padded with blanks and tabs come back without them."""

@@ -19,7 +19,8 @@ from batchkit.operators.orders import (
     tag_rejects,
 )
 from batchkit.session import land
-from batchkit.sources.csv import SOURCE_FILE, require_whole_lines, text_scan, write_csv
+from batchkit.sources.csv import EXTRA_CELLS, SOURCE_FILE, require_whole_lines, text_scan, write_csv
+from batchkit.sources.records import LINE
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,7 @@ class DailyResult:
     skipped_rows: int
     users: int
     summary_path: str
+    other_columns: tuple[str, ...] = ()
 
 
 def run_daily(
@@ -46,13 +48,15 @@ def run_daily(
     The orders are parsed once into a rollup per user and reject reason, which is written aside;
     the summary and all counts come from it. The rejected records take a second scan, left out
     with ``keep_rejects=False``. A rerun of a date replaces its result, in files and table; the result
-    is checked before anything is replaced. Cells with line breaks need ``multiline`` and raise without.
+    is checked before anything is replaced. Cells with line breaks need ``multiline`` and raise without;
+    with it, rejected records carry their ordinal in the file. Columns that no step needs are named in the result.
     """
     key = biz_date_key(biz_date)
     source, target = f"{base}/raw/{key}", f"{base}/result/{key}/user_summary"
     if not multiline:
         require_whole_lines(spark, source)
-    scanned = text_scan(spark, source, REQUIRED, flag_extra=True, name_file=True, multiline=multiline)
+    scanned = text_scan(spark, source, REQUIRED, flag_extra=True, name_file=True, multiline=multiline, name_line=multiline)
+    place = [SOURCE_FILE, *([LINE] if multiline else [])]
     tagged = tag_rejects(scanned)
     rollup = land(order_rollup(tagged), "rollup")
     summary = summary_of(rollup)
@@ -64,7 +68,7 @@ def run_daily(
     write_csv(text, target, single_file)
     if keep_rejects:
         write_csv(
-            rejects(tagged).select("order_id", "user_id", "amount_source", "reason", SOURCE_FILE),
+            rejects(tagged).select("order_id", "user_id", "amount_source", "reason", *place),
             f"{base}/result/{key}/rejects",
         )
 
@@ -76,4 +80,5 @@ def run_daily(
     ensure_table(spark, table, rows.schema, table_path)
     replace_slices(rows, table)
     require_slice(spark, table, biz_date, counts["users"])
-    return DailyResult(counts["valid_rows"], counts["skipped_rows"], counts["users"], target)
+    other = tuple(c for c in scanned.columns if c not in (*REQUIRED, *place, EXTRA_CELLS))
+    return DailyResult(counts["valid_rows"], counts["skipped_rows"], counts["users"], target, other)
