@@ -39,12 +39,6 @@ BLOCK_BYTES = 8 << 20  # text of a block: bounds the memory of a task
 SHARD_WORDS = 1 << 16  # words of the corpus for each shard
 FREQUENT = 1 << 12  # documents with an anchor, above which its stretches are cut into windows
 
-_SPACES = bytes(32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
-
-
-def words_of(text: bytes) -> list[bytes]:
-    return [word for word in text.translate(_SPACES).split(b" ") if word]
-
 
 class SuffixAutomaton:
     """Of several sequences: every run of symbols in any of them leads from state 0 to a state."""
@@ -113,7 +107,7 @@ class Block:
     def __init__(self, documents: list[list[bytes]]):
         self.words = [word for document in documents for word in document]
         self.ends = np.cumsum([len(document) for document in documents], dtype=np.int64)
-        self.starts = np.append(0, self.ends[:-1]) if len(self.ends) else self.ends
+        self.starts = self.ends - np.diff(self.ends, prepend=0)
 
     def anchors(self, window: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the windows that lie within a document: where they begin, their document, their anchor."""
@@ -121,11 +115,7 @@ class Block:
         if n <= 0:
             none = np.empty(0, np.int64)
             return none, none, none
-        known: dict[bytes, int] = {}
-        digest = xxhash.xxh3_64_intdigest
-        for word in self.words:
-            if word not in known:
-                known[word] = digest(word)
+        known = {word: xxhash.xxh3_64_intdigest(word) for word in set(self.words)}
         hashes = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
         runs = np.zeros(len(hashes) - size + 1, np.uint64)
         for k in range(size):
@@ -145,6 +135,17 @@ class Block:
         return b" ".join(self.words[start:end])
 
 
+def _ranks(ids: list) -> np.ndarray:
+    """The ids' places in their order, equal for equal ones."""
+    ordered = {key: n for n, key in enumerate(sorted(set(map(_order, ids))))}
+    return np.fromiter((ordered[_order(i)] for i in ids), np.int64, len(ids))
+
+
+def _order(doc_id) -> tuple:
+    """Ids in order, null after all."""
+    return (doc_id is None, 0 if doc_id is None else doc_id)
+
+
 def pack_blocks(docs: DataFrame, id_col: str, text_col: str, window: int, anchor_words: int, block_bytes: int) -> DataFrame:
     """Rows (block, path, n): files with their words; rows (block, anchor, n): documents of a block with an anchor."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
@@ -153,10 +154,12 @@ def pack_blocks(docs: DataFrame, id_col: str, text_col: str, window: int, anchor
 
     def saved(ids: list, documents: list[list[bytes]], kind: pa.DataType, block: int) -> pa.RecordBatch:
         path = new_name(folder, ".arrow")
-        texts = pa.array([b" ".join(words) for words in documents], pa.large_binary())
-        save_table(path, pa.table([pa.array(ids, kind), texts], names=["id", "words"]))
         held = Block(documents)
+        texts = pa.array([b" ".join(words) for words in documents], pa.large_binary())
+        save_table(path, pa.table([pa.array(ids, kind), texts, held.ends - held.starts], names=["id", "words", "n_words"]))
         _, document, anchor = held.anchors(window, anchor_words)
+        changes = np.append(True, (anchor[1:] != anchor[:-1]) | (document[1:] != document[:-1]))[: len(anchor)]
+        document, anchor = document[changes], anchor[changes]
         order = np.lexsort((document, anchor))
         anchor, document = anchor[order], document[order]
         first = np.append(True, (anchor[1:] != anchor[:-1]) | (document[1:] != document[:-1]))[: len(anchor)]
@@ -174,7 +177,7 @@ def pack_blocks(docs: DataFrame, id_col: str, text_col: str, window: int, anchor
             for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
                 text = text.as_py()
                 ids.append(doc_id)
-                documents.append(words_of(text))
+                documents.append(text.split())  # of bytes: at ASCII white space
                 size += len(text)
                 if size >= block_bytes:
                     yield saved(ids, documents, kind, block)
@@ -185,19 +188,16 @@ def pack_blocks(docs: DataFrame, id_col: str, text_col: str, window: int, anchor
     return rows.mapInArrow(run, "block bigint, path string, anchor bigint, n bigint")
 
 
-def _order(doc_id) -> tuple:
-    """Ids in order, null after all."""
-    return (doc_id is None, 0 if doc_id is None else doc_id)
-
-
 def cut_stretches(blocks: DataFrame, kind: str, window: int, anchor_words: int, shards: int, frequent: int) -> DataFrame:
-    """Distinct stretches of each block: shard, words, the least id in the block, and where they stand in it."""
+    """Distinct stretches of each block: shard, words and the least id in the block. One more row of a block has the
+    path of a file that says where they stand."""
     anchors = blocks.filter(F.col("anchor").isNotNull()).select("block", "anchor", "n")
     total = F.sum("n").over(Window.partitionBy("anchor"))
     shared = anchors.select("block", "anchor", total.alias("total")).filter("total > 1")
     shared = shared.select("block", "anchor", (F.col("total") > frequent).alias("frequent"))
     files = blocks.filter(F.col("path").isNotNull()).select("block", "path")
     both = files.unionByName(shared, allowMissingColumns=True)
+    folder = scratch_path(blocks.sparkSession, "passage-places")
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         path = table.column("path").drop_null()[0].as_py()
@@ -205,7 +205,7 @@ def cut_stretches(blocks: DataFrame, kind: str, window: int, anchor_words: int,
         wanted, often = table.column("anchor").to_numpy(), table.column("frequent").to_numpy()
         own = load_table(path)
         ids = own.column("id").to_pylist()
-        block = Block([words_of(text.as_py()) for text in own.column("words")])
+        block = Block([text.as_py().split() for text in own.column("words")])
         start, document, anchor = block.anchors(window, anchor_words)
         kept = np.isin(anchor, wanted)
         start, document, anchor = start[kept], document[kept], anchor[kept]
@@ -213,30 +213,34 @@ def cut_stretches(blocks: DataFrame, kind: str, window: int, anchor_words: int,
         goes_on = (start[1:] == start[:-1] + 1) & (document[1:] == document[:-1]) & (anchor[1:] == anchor[:-1]) & ~single[1:]
         heads = np.flatnonzero(np.append(True, ~goes_on)[: len(start)])
         tails = np.append(heads[1:], len(start))[: len(heads)] - 1
-        places: dict[bytes, list[tuple[int, int]]] = {}
-        shard: dict[bytes, int] = {}
-        sizes = []
-        columns = (start[heads], start[tails] + window, document[heads], anchor[heads], single[heads])
-        for begin, end, doc, name, alone in zip(*(c.tolist() for c in columns)):
-            text = block.text(begin, end)
-            places.setdefault(text, []).append((doc, begin))
-            if text not in shard:
-                shard[text] = (xxhash.xxh3_64_intdigest(text) if alone else name) % shards
-                sizes.append(end - begin)
-        least = [min((ids[doc] for doc, _ in stands), key=_order) for stands in places.values()]
-        lists = [[list(part) for part in zip(*stands)] for stands in places.values()]
+        start, end, document, anchor, single = start[heads], start[tails] + window, document[heads], anchor[heads], single[heads]
+        known: dict[bytes, int] = {}
+        texts = (block.text(a, b) for a, b in zip(start.tolist(), end.tolist()))
+        stretch = np.fromiter((known.setdefault(text, len(known)) for text in texts), np.int64, len(start))
+        ranks = _ranks(ids)
+        least = np.full(len(known), len(ids))
+        np.minimum.at(least, stretch, ranks[document])
+        by_rank = np.zeros(len(ids), np.int64)
+        by_rank[ranks] = np.arange(len(ids))
+        first = [ids[n] for n in by_rank[least].tolist()]
+        shard = np.zeros(len(known), np.int64)
+        shard[stretch] = anchor % shards
+        shard[stretch[single]] = -1
+        if single.any():
+            shard = [xxhash.xxh3_64_intdigest(text) % shards if n < 0 else n for text, n in zip(known, shard.tolist())]
+        places = new_name(folder, ".arrow")
+        later = ranks[document] > least[stretch]
+        columns = [stretch, start, end, later]
+        save_table(places, pa.table([pa.array(c) for c in columns], names=["stretch", "start", "end", "later"]))
         return pa.table(
-            [pa.array([key[0].as_py()] * len(places), pa.int64()), pa.array(range(len(places)), pa.int32()),
-             pa.array(list(shard.values()), pa.int64()), pa.array(list(places), pa.binary()), pa.array(sizes, pa.int32()),
-             pa.array(least, own.schema.field("id").type), pa.array([x for x, _ in lists], pa.list_(pa.int32())),
-             pa.array([x for _, x in lists], pa.list_(pa.int32()))],
-            names=["block", "stretch", "shard", "words", "n_words", "first", "documents", "starts"],
+            [pa.array([key[0].as_py()] * (len(known) + 1), pa.int64()), pa.array([places] + [None] * len(known), pa.string()),
+             pa.array([None, *range(len(known))], pa.int32()), pa.array([None, *shard], pa.int64()),
+             pa.array([None, *known], pa.binary()), pa.array([None, *first], own.schema.field("id").type)],
+            names=["block", "places", "stretch", "shard", "words", "first"],
         )
 
     return both.groupBy("block").applyInArrow(
-        run,
-        f"block bigint, stretch int, shard bigint, words binary, n_words int, first {kind}, documents array<int>, "
-        "starts array<int>",
+        run, f"block bigint, places string, stretch int, shard bigint, words binary, first {kind}"
     )
 
 
@@ -264,9 +268,9 @@ def match_shard(stretches: dict[bytes, object], window: int) -> dict[bytes, list
     return found
 
 
-def judge_stretches(stretches: DataFrame, kind: str, window: int) -> DataFrame:
-    """Per stretch of a block about which there is something to say: the least id of all blocks, and the windows that
-    the document of that id loses."""
+def judge_stretches(stretches: DataFrame, window: int) -> DataFrame:
+    """Per stretch of a block about which there is something to say: whether another block has it with a smaller id,
+    and else the windows that the documents of its least id lose (their ends, as 32-bit numbers)."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         texts, first = table.column("words").to_pylist(), table.column("first").to_pylist()
@@ -279,34 +283,36 @@ def judge_stretches(stretches: DataFrame, kind: str, window: int) -> DataFrame:
             found = match_shard(least, window)
         finally:
             gc.enable()
-        told = [n for n, text in enumerate(texts) if text in found or least[text] != first[n]]
+        elsewhere = [least[text] != own for text, own in zip(texts, first)]
+        told = [n for n, text in enumerate(texts) if elsewhere[n] or text in found]
+        hits = [None if elsewhere[n] else np.array(found[texts[n]], "<i4").tobytes() for n in told]
         rows = pa.array(told, pa.int64())
-        hits = [found.get(texts[n], []) for n in told]
         return pa.table(
             [table.column("block").take(rows), table.column("stretch").take(rows),
-             pa.array([least[texts[n]] for n in told], table.schema.field("first").type), pa.array(hits, pa.list_(pa.int32()))],
-            names=["block", "stretch", "first", "hits"],
+             pa.array([elsewhere[n] for n in told], pa.bool_()), pa.array(hits, pa.binary())],
+            names=["block", "stretch", "elsewhere", "hits"],
         )
 
-    rows = stretches.select("shard", "block", "stretch", "words", "first")
-    return rows.groupBy("shard").applyInArrow(run, f"block bigint, stretch int, first {kind}, hits array<int>")
-
-
-def _removed(block: Block, ids: list, placed: pa.Table, judged: pa.Table, window: int) -> np.ndarray:
-    """Which words of the block go."""
-    change = np.zeros(len(block.words) + 1, np.int64)
-    told = {n: (f, h) for n, f, h in zip(*(judged.column(c).to_pylist() for c in ("stretch", "first", "hits")))}
-    columns = (placed.column(c).to_pylist() for c in ("stretch", "first", "documents", "starts", "n_words"))
-    for stretch, first, documents, starts, n_words in zip(*columns):
-        first, hits = told.get(stretch, (first, ()))
-        for doc, start in zip(documents, starts):
-            if _order(ids[doc]) > _order(first):
-                change[start] += 1
-                change[start + n_words] -= 1
-            else:
-                for end in hits:
-                    change[start + end + 1 - window] += 1
-                    change[start + end + 1] -= 1
+    rows = stretches.filter(F.col("words").isNotNull()).select("shard", "block", "stretch", "words", "first")
+    return rows.groupBy("shard").applyInArrow(run, "block bigint, stretch int, elsewhere boolean, hits binary")
+
+
+def _removed(size: int, places: pa.Table, judged: pa.Table, window: int) -> np.ndarray:
+    """Which of the block's words go."""
+    stretch, start, end, later = (places.column(c).to_numpy() for c in ("stretch", "start", "end", "later"))
+    known = np.zeros(int(stretch.max(initial=-1)) + 1, bool)
+    known[judged.filter(judged.column("elsewhere")).column("stretch").to_numpy()] = True
+    whole = later.astype(bool) | known[stretch]
+    change = np.zeros(size + 1, np.int64)
+    np.add.at(change, start[whole], 1)
+    np.add.at(change, end[whole], -1)
+    judged = judged.filter(judged.column("hits").is_valid())
+    hits = dict(zip(judged.column("stretch").to_pylist(), judged.column("hits").to_pylist()))
+    parts = np.flatnonzero(~whole & np.isin(stretch, np.fromiter(hits, np.int64, len(hits))))
+    for own, begin in zip(stretch[parts].tolist(), start[parts].tolist()):
+        ends = begin + 1 + np.frombuffer(hits[own], "<i4")
+        np.add.at(change, ends - window, 1)
+        np.add.at(change, ends, -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -338,25 +344,26 @@ def drop_repeated_passages(
     n_words = files.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-n_words // shard_words))
     stretches = land(cut_stretches(blocks, kind, window_words, anchor_words, shards, frequent), "passage-stretches")
-    judged = judge_stretches(stretches, kind, window_words)
-    placed = stretches.select("block", "stretch", "first", "documents", "starts", "n_words")
-    both = files.select("block", "path").unionByName(placed, allowMissingColumns=True)
+    judged = judge_stretches(stretches, window_words)
+    places = stretches.filter(F.col("places").isNotNull()).select("block", "places")
+    both = files.select("block", "path").unionByName(places, allowMissingColumns=True)
     both = both.unionByName(judged, allowMissingColumns=True)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        path = table.column("path").drop_null()[0].as_py()
-        own = load_table(path)
-        ids, texts = own.column("id").to_pylist(), own.column("words").to_pylist()
-        block = Block([words_of(text) for text in texts])
-        placed = table.filter(table.column("documents").is_valid())
-        gone = _removed(block, ids, placed, table.filter(table.column("hits").is_valid()), window_words)
+        own = load_table(table.column("path").drop_null()[0].as_py())
+        n_words, texts = own.column("n_words").to_numpy(), own.column("words").to_pylist()
+        ends = np.cumsum(n_words)
+        placed = table.column("places").drop_null()
+        judged = table.filter(table.column("stretch").is_valid())
+        size = int(n_words.sum())
+        gone = _removed(size, load_table(placed[0].as_py()), judged, window_words) if len(placed) else np.zeros(size, bool)
         n_removed, kept, spans, bounds = [], [], [], [0]
-        for start, end, text in zip(block.starts.tolist(), block.ends.tolist(), texts):
+        for start, end, text in zip((ends - n_words).tolist(), ends.tolist(), texts):
             flags = gone[start:end]
             n = int(flags.sum())
             n_removed.append(n)
             if n:
-                kept.append(b" ".join([w for w, x in zip(block.words[start:end], flags.tolist()) if not x]))
+                kept.append(b" ".join([w for w, x in zip(text.split(), flags.tolist()) if not x]))
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
                 spans.append(edges)
                 bounds.append(bounds[-1] + len(edges) // 2)
@@ -366,7 +373,7 @@ def drop_repeated_passages(
         spans = np.concatenate(spans or [np.empty(0, np.int64)]).astype(np.int32)
         ranges = pa.StructArray.from_arrays([pa.array(spans[::2]), pa.array(spans[1::2])], names=["start", "end"])
         columns = [
-            own.column("id"), pa.array(block.ends - block.starts, pa.int64()), pa.array(n_removed, pa.int64()),
+            own.column("id"), own.column("n_words"), pa.array(n_removed, pa.int64()),
             pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), ranges), pa.array(kept, pa.binary()).cast(pa.string()),
         ]
         return pa.table(columns, names=[id_col, "n_words", "n_removed", "removed", "kept_text"])
