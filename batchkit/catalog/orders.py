@@ -25,6 +25,8 @@ def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, with faults put into those of some status and priority."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     pending = status == "P"
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    two_places = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(pending & (priority == "1-URGENT"), "").otherwise(F.col("o_orderkey").cast("string")).alias("order_id"),
@@ -33,6 +35,10 @@ def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(pending & (priority == "5-LOW"), "-5.00")
         .when((status == "F") & (priority == "5-LOW"), "")
         .when((status == "F") & (priority == "2-HIGH"), "0")
+        .when((status == "F") & (priority == "1-URGENT"), "1e99")
+        .when((status == "F") & (priority == "3-MEDIUM"), "1e-40")
+        .when((status == "O") & (priority == "1-URGENT"), F.concat(cents.cast("string"), F.lit("e25")))
+        .when((status == "O") & (priority == "2-HIGH"), F.concat(two_places, F.lpad(F.col("o_orderkey").cast("string"), 13, "0")))
         .otherwise(F.concat(F.lit(" "), F.col("o_totalprice").cast("string")))
         .alias("amount"),
     )
@@ -46,6 +52,8 @@ faulty AS (
                 WHEN o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM' THEN 'amount_invalid'
                 WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'amount_negative'
                 WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'amount_invalid'
+                WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'amount_out_of_range'
+                WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'amount_too_fine'
            END AS reason,
            CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 0 ELSE o_totalprice END AS amount
     FROM orders
@@ -82,6 +90,42 @@ def order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.tag_rejects(faulty_orders(spark, sf_dir)).select("o_orderkey", "reason")
 
 
+# Totals as two whole numbers, of ones and of 1e-15: one amount class is a multiple of 1e25, one has 15 decimals.
+@query(
+    f"""
+    WITH {FAULTY},
+    priced AS (
+        SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority,
+               cast(round(o_totalprice * 100) AS hugeint) AS cents
+        FROM orders),
+    parts AS (
+        SELECT user_id,
+               CASE WHEN status = 'F' AND priority = '2-HIGH' THEN 0
+                    WHEN status = 'O' AND priority = '1-URGENT' THEN cents * 10000000000000000000000000
+                    ELSE cents // 100 END AS ones,
+               CASE WHEN (status = 'F' AND priority = '2-HIGH') OR (status = 'O' AND priority = '1-URGENT') THEN 0
+                    WHEN status = 'O' AND priority = '2-HIGH' THEN (cents % 100) * 10000000000000 + o_orderkey
+                    ELSE (cents % 100) * 10000000000000 END AS fine
+        FROM faulty JOIN priced USING (o_orderkey) WHERE reason IS NULL),
+    summed AS (
+        SELECT user_id, count(*) AS n, sum(ones)::hugeint + sum(fine)::hugeint // 1000000000000000 AS ones,
+               sum(fine)::hugeint % 1000000000000000 AS fine
+        FROM parts GROUP BY user_id),
+    cut AS (SELECT *, ones * 100 + fine // 10000000000000 AS cents, fine % 10000000000000 AS rest FROM summed),
+    rounded AS (
+        SELECT *, cents + CASE WHEN rest > 5000000000000 OR (rest = 5000000000000 AND cents % 2 = 1) THEN 1 ELSE 0 END
+                  AS shown
+        FROM cut)
+    SELECT user_id, cast(n AS varchar) AS order_count,
+           shown // 100 || '.' || lpad(cast(shown % 100 AS varchar), 2, '0') AS total_amount
+    FROM rounded
+    """
+)
+def wide_amount_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of amounts up to 1e32 and with up to 15 decimals, none rounded before the sum."""
+    return ops.totals_text(ops.order_rollup(ops.tag_rejects(faulty_orders(spark, sf_dir))))
+
+
 @query(
     f"""
     WITH {FAULTY},

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchkit.errors import DataError, EmptyResultError, ReconcileError, SchemaError
-from batchkit.functions.numbers import to_amount, to_count
+from batchkit.functions import exact
+from batchkit.functions.numbers import to_count
 from batchkit.functions.text import digest, strip_or_empty
 
 
@@ -73,13 +74,15 @@ def summary_violations(df: DataFrame) -> DataFrame:
         {
             "_user": strip_or_empty(F.col("user_id")),
             "_count": to_count(F.col("order_count")),
-            "_total": to_amount(F.col("total_amount")),
+            "_total": exact.from_text(F.col("total_amount")),
         }
     )
     reason = F.coalesce(
         F.when(F.col("_user") == "", F.lit("user_id_empty")),
         _not_negative(F.col("_count"), "order_count"),
-        _not_negative(F.col("_total"), "total_amount"),
+        F.when(F.col("_total.negative"), F.lit("total_amount_negative")),
+        # A number beyond what sums hold is still a number.
+        F.when(F.col("_total.fault") == exact.INVALID, F.lit("total_amount_invalid")),
     )
     tagged = parsed.withColumn("reason", reason).drop("_user", "_count", "_total")
     return keep_where(tagged, F.col("reason").isNotNull())

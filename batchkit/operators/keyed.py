@@ -32,13 +32,16 @@ def stamp(df: DataFrame, day: Column, entity: Column, update_time: str) -> DataF
 
 
 def user_stat_rows(summary: DataFrame, biz_date: str, update_time: str) -> DataFrame:
-    """The per-user summary of one date as keyed rows with text cells."""
+    """The per-user summary of one date, its totals exact numbers or text already, as keyed rows with text cells."""
     biz_date_key(biz_date)
+    total = F.col("total_amount")
+    if not isinstance(summary.schema["total_amount"].dataType, T.StringType):
+        total = money_text(total)
     return stamp(summary, F.lit(biz_date), F.col("user_id"), update_time).select(
         KEY,
         "user_id",
         F.col("order_count").cast("string").alias("order_count"),
-        money_text(F.col("total_amount")).alias("total_amount"),
+        total.alias("total_amount"),
         "update_time",
         BIZ_DATE,
     )

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchkit.functions.numbers import AMOUNT_TYPE, money_text, to_amount, to_money
+from batchkit.functions import exact
+from batchkit.functions.numbers import money_text
 from batchkit.functions.text import strip_or_empty
 from batchkit.operators.checks import keep_where
 from batchkit.sources.csv import EXTRA_CELLS
@@ -18,6 +19,11 @@ NO_ORDER = "order_id_empty"
 NO_USER = "user_id_empty"
 BAD_AMOUNT = "amount_invalid"
 NEGATIVE = "amount_negative"
+OUT_OF_RANGE = "amount_out_of_range"
+TOO_FINE = "amount_too_fine"
+
+WIDE = "amount_wide"
+_EXACT = "_amount_exact"
 
 
 def _is_text(df: DataFrame, name: str) -> bool:
@@ -31,39 +37,35 @@ def _identifier(df: DataFrame, name: str) -> tuple[Column, Column]:
     return F.col(name), F.col(name).isNull()
 
 
-def _amount_reason(text: bool) -> Column:
-    """NULL for a valid amount, which is tested first: it is the common case.
-
-    A numeric column is tested as it is, so the scan can use the test. Its bounds are what the exact
-    type holds; NaN, which Spark takes for the largest number, is beyond them.
-    """
-    if text:
-        amount = F.col("amount")
-        valid, negative = amount >= 0, amount < 0
-    else:
-        number, bound = F.col("amount_source"), F.lit(1e28)
-        valid, negative = (number >= 0) & (number < bound), (number < 0) & (number > -bound)
-    return F.when(valid, F.lit(None)).when(negative, F.lit(NEGATIVE)).otherwise(F.lit(BAD_AMOUNT))
+def _exact(df: DataFrame) -> Column:
+    amount = F.col("amount")
+    if _is_text(df, "amount"):
+        return exact.from_text(amount)
+    if isinstance(df.schema["amount"].dataType, (T.DoubleType, T.FloatType)):
+        return exact.from_double(amount.cast("double"))
+    return exact.from_text(amount.cast("string"))
 
 
 def tag_rejects(df: DataFrame) -> DataFrame:
     """Add ``reason``, the first rule a row breaks (NULL if it is valid), and make the amount exact.
 
-    ``amount`` becomes ``decimal(38,10)``; what it came from is kept as ``amount_source``. Infinite
-    and not-a-number amounts are invalid. An amount of zero is valid. Text identifiers are trimmed,
+    ``amount`` becomes ``decimal(38,10)``, or NULL where ``amount_wide`` holds it: see ``functions.exact``. What it came
+    from is kept as ``amount_source``. Infinite and not-a-number amounts are invalid; numbers of 1e81 and more are out
+    of range, those with more than 27 decimals too fine. An amount of zero is valid. Text identifiers are trimmed,
     others keep their type.
     """
-    text = _is_text(df, "amount")
     order_id, no_order = _identifier(df, "order_id")
     user_id, no_user = _identifier(df, "user_id")
     checks = [(no_order, NO_ORDER), (no_user, NO_USER)]
     if EXTRA_CELLS in df.columns:
         checks.insert(0, (F.col(EXTRA_CELLS), EXTRA))
-    reason = F.coalesce(*[F.when(broken, F.lit(name)) for broken, name in checks], _amount_reason(text))
-    amount = to_amount(F.col("amount")) if text else F.col("amount").try_cast(AMOUNT_TYPE)
-    return df.withColumns(
-        {"order_id": order_id, "user_id": user_id, "amount_source": F.col("amount"), "amount": amount}
-    ).withColumn("reason", reason)
+    checks.append((F.col(f"{_EXACT}.negative"), NEGATIVE))
+    reason = F.coalesce(
+        *[F.when(broken, F.lit(name)) for broken, name in checks], F.concat(F.lit("amount_"), F.col(f"{_EXACT}.fault"))
+    )
+    parsed = df.withColumns({"order_id": order_id, "user_id": user_id, "amount_source": F.col("amount"), _EXACT: _exact(df)})
+    exact_columns = {"amount": F.col(f"{_EXACT}.plain"), WIDE: F.col(f"{_EXACT}.wide"), "reason": reason}
+    return parsed.withColumns(exact_columns).drop(_EXACT)
 
 
 def rejects(tagged: DataFrame) -> DataFrame:
@@ -81,14 +83,27 @@ def order_rollup(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy("reason", F.when(valid, F.col("user_id")).alias("user_id")).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum(F.when(valid, F.col("amount"))).alias("amount"),
+        *exact.sum_limbs(F.when(valid, F.col(WIDE)), ""),
     )
 
 
+def _totals(amount: str) -> tuple[Column, list[Column]]:
+    return F.col(amount), [F.col(c) for c in exact.LIMBS]
+
+
 def summary_of(rollup: DataFrame) -> DataFrame:
-    """Per user: number of orders and exact total with two places."""
+    """Per user: number of orders and exact total with two places; a total of 1e36 or more raises."""
+    total = exact.joined_money(*_totals("amount")).alias("total_amount")
+    return rollup.filter(F.col("reason").isNull()).select("user_id", "order_count", total)
+
+
+def totals_text(rollup: DataFrame) -> DataFrame:
+    """``summary_text`` of the rollup itself, with totals of any size."""
     return rollup.filter(F.col("reason").isNull()).select(
-        "user_id", "order_count", to_money(F.col("amount")).alias("total_amount")
-    )
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("order_count").cast("string").alias("order_count"),
+        exact.joined_text(*_totals("amount")).alias("total_amount"),
+    ).orderBy("user_id")
 
 
 def counts_of(rollup: DataFrame) -> DataFrame:
@@ -121,15 +136,15 @@ def user_summary(tagged: DataFrame, dedup: bool = False) -> DataFrame:
         # The same test as plain conjuncts, which the scan takes.
         amount = F.col("amount_source")
         present = F.col("order_id").isNotNull() & F.col("user_id").isNotNull()
-        valid = tagged.filter(present & (amount >= 0) & (amount < F.lit(1e28)))
+        valid = tagged.filter(present & (amount >= 0) & (amount < F.lit(exact.BOUND)) & is_valid)
     else:
         valid = keep_where(tagged, is_valid)
     if dedup:
-        valid = valid.select("order_id", "user_id", "amount").distinct()
-    return valid.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        to_money(F.sum("amount")).alias("total_amount"),
+        valid = valid.select("order_id", "user_id", "amount", WIDE).distinct()
+    summed = valid.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum("amount").alias("amount"), *exact.sum_limbs(F.col(WIDE), "")
     )
+    return summed.select("user_id", "order_count", exact.joined_money(*_totals("amount")).alias("total_amount"))
 
 
 def summary_text(summary: DataFrame) -> DataFrame:

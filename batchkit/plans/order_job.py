@@ -14,8 +14,7 @@ from batchkit.operators.orders import (
     counts_of,
     order_rollup,
     rejects,
-    summary_of,
-    summary_text,
+    totals_text,
     tag_rejects,
 )
 from batchkit.session import land
@@ -59,11 +58,10 @@ def run_daily(
     place = [SOURCE_FILE, *([LINE] if multiline else [])]
     tagged = tag_rejects(scanned)
     rollup = land(order_rollup(tagged), "rollup")
-    summary = summary_of(rollup)
-    require_rows(summary, f"orders of {biz_date}")
+    text = totals_text(rollup)
+    require_rows(text, f"orders of {biz_date}")
     counts = counts_of(rollup).first()
 
-    text = summary_text(summary)
     require_clean(summary_violations(text))
     write_csv(text, target, single_file)
     if keep_rejects:
@@ -76,7 +74,7 @@ def run_daily(
     require_clean(summary_violations(written))
     require_readback(text, written)
 
-    rows = user_stat_rows(summary, biz_date, update_time)
+    rows = user_stat_rows(text, biz_date, update_time)
     ensure_table(spark, table, rows.schema, table_path)
     replace_slices(rows, table)
     require_slice(spark, table, biz_date, counts["users"])
