@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchkit.catalog.registry import query, table
+from batchkit.operators import buckets
 from batchkit.operators import keyed as ops
 from batchkit.session import scratch_path
 
@@ -36,12 +37,16 @@ def _new_table(spark: SparkSession, rows: DataFrame) -> str:
     return name
 
 
-def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _filled_table(spark: SparkSession, sf_dir: str) -> str:
     rows = keyed_events(spark, sf_dir)
     name = _new_table(spark, rows)
     latest = ops.latest_per_key(rows, "row_key", CELLS, ["ts", "event_id"], keep=["biz_date"])
     ops.replace_slices(latest, name)
-    return spark.table(name)
+    return name
+
+
+def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_filled_table(spark, sf_dir))
 
 
 WRITES = f"""
@@ -133,7 +138,7 @@ def keyed_point_get(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {TABLE} SELECT * FROM keyed ORDER BY row_key LIMIT 10")
 def keyed_limit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.limit_scan(keyed_table(spark, sf_dir), 10)
+    return ops.first_rows(spark, _filled_table(spark, sf_dir), 10)
 
 
 @query(f"WITH {TABLE} SELECT biz_date, count(*) AS row_count, count(value) AS value_count FROM keyed GROUP BY biz_date")
@@ -150,3 +155,46 @@ def ensure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("biz_date")
         .agg(F.count(F.lit(1)).alias("row_count"), F.count("value").alias("value_count"))
     )
+
+
+USERS = """
+writes AS (
+    SELECT 'user' || user_id AS row_key, event_type, CASE WHEN event_type <> 'error' THEN cast(value AS varchar) END AS value,
+           CASE WHEN event_type IN ('error', 'purchase') THEN 1 ELSE 0 END AS batch, ts, event_id
+    FROM events),
+stored AS (
+    SELECT row_key, arg_max(event_type, (batch, ts, event_id)) AS event_type,
+           arg_max(value, (batch, ts, event_id)) FILTER (value IS NOT NULL) AS value
+    FROM writes GROUP BY row_key)"""
+
+
+def _user_table(spark: SparkSession, sf_dir: str) -> str:
+    """A table without dates, one row per user, written by two puts; the second is repeated, as by a rerun."""
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("row_key"),
+        "event_type",
+        F.when(F.col("event_type") != "error", F.col("value").cast("string")).alias("value"),
+        "ts",
+        "event_id",
+    )
+    late = F.coalesce(F.col("event_type").isin("error", "purchase"), F.lit(False))
+    name, schema = f"users_{uuid.uuid4().hex}", rows.select("row_key", "event_type", "value").schema
+    buckets.ensure_table(spark, name, schema, scratch_path(spark, "users"), 16)
+    for batch in (rows.filter(~late), rows.filter(late), rows.filter(late)):
+        buckets.put(spark, name, batch, ["ts", "event_id"])
+    return name
+
+
+@query(f"WITH {USERS} SELECT * FROM stored")
+def undated_put_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return buckets.scan(spark, _user_table(spark, sf_dir))
+
+
+@query(f"WITH {USERS} SELECT * FROM stored WHERE row_key = 'user8'")
+def undated_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return buckets.get(spark, _user_table(spark, sf_dir), "user8")
+
+
+@query(f"WITH {USERS} SELECT * FROM stored WHERE row_key LIKE 'user1%' ORDER BY row_key LIMIT 5")
+def undated_prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return buckets.scan(spark, _user_table(spark, sf_dir), prefix="user1", n=5)

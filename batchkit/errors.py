@@ -17,6 +17,10 @@ class EmptyResultError(DataError):
     """A result that must hold rows is empty."""
 
 
+class MissingResultError(DataError):
+    """No result was committed at a path."""
+
+
 class ReconcileError(BatchError, RuntimeError):
     """What was read back differs from what was written."""
 

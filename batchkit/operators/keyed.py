@@ -165,6 +165,31 @@ def limit_scan(table: DataFrame, n: int = 10) -> DataFrame:
     return table.orderBy(KEY).limit(n)
 
 
+def first_rows(spark: SparkSession, name: str, n: int = 10) -> DataFrame:
+    """The first ``n`` rows of the table in key order, from as few dates as hold them.
+
+    Keys begin with their date, so dates in order are keys in order. The catalog lists the dates; they are looked at in
+    growing groups until enough rows are there. Keys without a date can stand anywhere, so their folder is always read.
+    """
+    table = spark.table(name)
+    listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    dates = sorted(value for value in (r[0].split("=", 1)[1] for r in listed) if not value.startswith("__"))
+    found = at = 0
+    step = 1
+    while found < n and at < len(dates):
+        group = dates[at : at + step]
+        found += table.filter(_dated(group[0], group[-1])).limit(n - found).count()
+        at, step = at + len(group), 2 * step
+    if at == len(dates):
+        return limit_scan(table, n)
+    undated = F.col(BIZ_DATE).isNull()
+    return limit_scan(table.filter(_dated(dates[0], dates[at - 1]) | undated), n)
+
+
+def _dated(first: str, last: str) -> Column:
+    return F.col(BIZ_DATE).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
 def cells_of(table: DataFrame, family: str = "cf") -> DataFrame:
     """The sparse form: one row per present cell, named ``family:column``, its value decoded to text."""
     columns = [c for c in table.columns if c != KEY]

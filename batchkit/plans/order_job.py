@@ -20,6 +20,7 @@ from batchkit.operators.orders import (
 from batchkit.session import land
 from batchkit.sources.csv import EXTRA_CELLS, SOURCE_FILE, require_whole_lines, text_scan, write_csv
 from batchkit.sources.records import LINE
+from batchkit.sources.versions import commit, new_version
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,7 @@ class DailyResult:
     users: int
     summary_path: str
     other_columns: tuple[str, ...] = ()
+    rejects_path: str | None = None
 
 
 def run_daily(
@@ -44,6 +46,9 @@ def run_daily(
 ) -> DailyResult:
     """Summarise ``<base>/raw/<YYYYMMDD>`` into ``<base>/result/<YYYYMMDD>`` and the keyed table.
 
+    The result is a version with the folders ``user_summary`` and ``rejects``: see ``sources.versions``. It becomes the
+    current one after it was checked, so a run that stops leaves the earlier result in place.
+
     The orders are parsed once into a rollup per user and reject reason, which is written aside;
     the summary and all counts come from it. The rejected records take a second scan, left out
     with ``keep_rejects=False``. A rerun of a date replaces its result, in files and table; the result
@@ -51,7 +56,9 @@ def run_daily(
     with it, rejected records carry their ordinal in the file. Columns that no step needs are named in the result.
     """
     key = biz_date_key(biz_date)
-    source, target = f"{base}/raw/{key}", f"{base}/result/{key}/user_summary"
+    source, result = f"{base}/raw/{key}", f"{base}/result/{key}"
+    version = new_version(result)
+    target, rejected = f"{version}/user_summary", f"{version}/rejects"
     if not multiline:
         require_whole_lines(spark, source)
     scanned = text_scan(spark, source, REQUIRED, flag_extra=True, name_file=True, multiline=multiline, name_line=multiline)
@@ -67,16 +74,19 @@ def run_daily(
     if keep_rejects:
         write_csv(
             rejects(tagged).select("order_id", "user_id", "amount_source", "reason", *place),
-            f"{base}/result/{key}/rejects",
+            rejected,
         )
 
     written = text_scan(spark, target, ("user_id", "order_count", "total_amount"))
     require_clean(summary_violations(written))
     require_readback(text, written)
+    commit(spark, result, version)
 
     rows = user_stat_rows(text, biz_date, update_time)
     ensure_table(spark, table, rows.schema, table_path)
     replace_slices(rows, table)
     require_slice(spark, table, biz_date, counts["users"])
     other = tuple(c for c in scanned.columns if c not in (*REQUIRED, *place, EXTRA_CELLS))
-    return DailyResult(counts["valid_rows"], counts["skipped_rows"], counts["users"], target, other)
+    return DailyResult(
+        counts["valid_rows"], counts["skipped_rows"], counts["users"], target, other, rejected if keep_rejects else None
+    )

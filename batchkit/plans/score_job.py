@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -11,12 +11,14 @@ from batchkit.operators.checks import require_rows
 from batchkit.operators.scores import SCORE_SCHEMA, ScoreNames, by_total, output_stats, score_clean, score_summary
 from batchkit.session import land
 from batchkit.sources.csv import typed_scan, write_csv
+from batchkit.sources.versions import commit, new_version
 
 
 @dataclass(frozen=True)
 class ScoreResult:
     students: int
     mean_average: str
+    path: str = field(default="", compare=False)
 
 
 def run_scores(
@@ -27,18 +29,20 @@ def run_scores(
     single_file: bool = False,
     names: ScoreNames = ScoreNames(),
 ) -> ScoreResult:
-    """Write the score summary of the CSV at ``source`` to ``target``.
+    """Write the score summary of the CSV at ``source`` as a new version of the result at ``target``.
 
-    The source is read once and its result set aside; an earlier result is only replaced by one that
-    has rows. The statistics come from what was written.
+    The source is read once and its result set aside. The version becomes the current one when it was read back and has
+    rows: see ``sources.versions``. The statistics come from what was written.
     """
     summary = land(score_summary(score_clean(typed_scan(spark, source, SCORE_SCHEMA, strict), names), names), "scores")
     require_rows(summary, source)
-    write_csv(by_total(summary, names), target, single_file)
-    written = typed_scan(spark, target, _text_with_average(summary.schema, names), strict=True)
-    require_rows(written, target)
+    version = new_version(target)
+    write_csv(by_total(summary, names), version, single_file)
+    written = typed_scan(spark, version, _text_with_average(summary.schema, names), strict=True)
+    require_rows(written, version)
     stats = output_stats(written, names.average).first()
-    return ScoreResult(stats["row_count"], stats["mean_average"])
+    commit(spark, target, version)
+    return ScoreResult(stats["row_count"], stats["mean_average"], version)
 
 
 def _text_with_average(schema: T.StructType, names: ScoreNames) -> T.StructType:

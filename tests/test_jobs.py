@@ -8,7 +8,9 @@ import pytest
 from batchkit.errors import EmptyResultError
 from batchkit.operators.retail import STANDARD_NAMES
 from batchkit.plans import order_job, retail_job, score_job
+from batchkit.sources.versions import current
 
+# The example orders and their summary.
 ORDERS = """order_id,user_id,product,amount,order_time
 o001,u001,phone,3999.00,2026-07-18 09:10:00
 o002,u002,book,59.00,2026-07-18 09:20:00
@@ -53,7 +55,7 @@ def test_daily_orders(spark, tmp_path):
     put(f"{tmp_path}/raw/20260719/orders.csv", "order_id,user_id,amount\no1,u001,5\no2,,5\n")
     result = run(spark, tmp_path, table, "2026-07-19")
     assert (result.valid_rows, result.skipped_rows, result.users) == (1, 1, 1)
-    header, reject = joined(f"{tmp_path}/result/20260719/rejects").splitlines()
+    header, reject = joined(result.rejects_path).splitlines()
     assert header == "order_id,user_id,amount_source,reason,_file"
     assert reject.startswith("o2,,5,user_id_empty,") and reject.endswith("/raw/20260719/orders.csv")
     assert spark.table(table).count() == 4
@@ -71,7 +73,7 @@ def test_scores(spark, tmp_path):
     put(f"{tmp_path}/in/scores.csv", "\n".join(lines) + "\n")
     result = score_job.run_scores(spark, f"{tmp_path}/in", f"{tmp_path}/out", strict=True, single_file=True)
     assert result == score_job.ScoreResult(2, "88.8")
-    assert joined(f"{tmp_path}/out") == "学号,姓名,班级,平均分,总分,最高分,科目数\ns1,张三,1,82.5,165,90,2\ns2,李四,2,95.0,95,95,1\n"
+    assert result.path == current(spark, f"{tmp_path}/out") and joined(result.path) == "学号,姓名,班级,平均分,总分,最高分,科目数\ns1,张三,1,82.5,165,90,2\ns2,李四,2,95.0,95,95,1\n"
 
 
 def test_retail(spark, tmp_path):
