@@ -60,13 +60,14 @@ class ByteTokens:
         alphabet = byte_alphabet()
         ranks = {bytes(alphabet[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
         merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
-        if described.get("normalizer") or any(a >= b for a, b in zip(merged, merged[1:])):
+        whole = all(bytes([b]) in ranks for b in range(256))  # so every text is given back
+        if not whole or described.get("normalizer") or any(a >= b for a, b in zip(merged, merged[1:])):
             raise ValueError(f"{path} is not a plain byte-level vocabulary in the order of its merges")
         self.table = _by_id({i: t for t, i in ranks.items()})
         self._encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self._encoding.encode_ordinary(" " + text) for text in texts]
+    def encode(self, text: str) -> np.ndarray:
+        return self._encoding.encode_to_numpy(" " + text, disallowed_special=())
 
 
 class PieceTokens:
@@ -82,8 +83,8 @@ class PieceTokens:
         found = _BYTE_PIECE.fullmatch(piece)
         return bytes([int(found[1], 16)]) if found else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._model.encode(texts, num_threads=1)
+    def encode(self, text: str) -> list[int]:
+        return self._model.encode(text)
 
 
 def _by_id(tokens: dict[int, bytes]) -> list[bytes]:
@@ -118,9 +119,8 @@ class Aligner:
         parts = [f"{i}{mark}" for own, marks in zip(names, (",|", ",;")) for mark in marks for i in own]
         self.parts = np.array(parts, object)
 
-    def groups(self, ids_a: list[int], ids_b: list[int]) -> tuple[np.ndarray, int, str]:
-        """The linked pairs (A's id in the high half), the number of groups and their description."""
-        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+    def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, str]:
+        """The linked pairs, one per group (A's id in the high half), and the groups' description."""
         label = terminals(np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b]))
         label_a, label_b = label[: len(a)], label[len(a) :]
         last_a = np.append(label_a[1:] != label_a[:-1], True)
@@ -129,20 +129,16 @@ class Aligner:
         n_a, n_b = len(self.sizes[0]), len(self.sizes[1])
         codes = np.concatenate([a + n_a * last_a, b + 2 * n_a + n_b * last_b])
         order = np.argsort(np.concatenate([label_a * 2, label_b * 2 + 1]), kind="stable")
-        return links, len(links), "".join(self.parts[codes[order]].tolist())[:-1]
-
-    def align(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, str]]:
-        """Per text: the numbers of A's and B's tokens, the links, the digest of the groups."""
-        for text, ids_a, ids_b in zip(texts, self.a.encode(texts), self.b.encode(texts)):
-            whole = (" " + text).encode()
-            alike = text and all(
-                b"".join(map(t.table.__getitem__, ids)) == whole for t, ids in ((self.a, ids_a), (self.b, ids_b))
-            )
-            if alike:
-                links, _, described = self.groups(ids_a, ids_b)
-                yield len(ids_a), len(ids_b), links, hashlib.sha256(described.encode()).hexdigest()
-            else:
-                yield 0, 0, np.empty(0, np.int64), ""
+        return links, "".join(self.parts[codes[order]].tolist())[:-1]
+
+    def align(self, text: str) -> tuple[int, int, np.ndarray, str]:
+        """The numbers of A's and B's tokens, the links, the groups as text."""
+        ids = self.b.encode(text) if text else []
+        whole = (" " + text).encode()
+        if not text or b"".join(map(self.b.table.__getitem__, ids)) != whole:
+            return 0, 0, np.empty(0, np.int64), ""
+        a, b = self.a.encode(text).astype(np.int64), np.array(ids, np.int64)
+        return len(a), len(b), *self.groups(a, b)
 
 
 @lru_cache(maxsize=2)
@@ -150,25 +146,25 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return Aligner(byte_path, piece_path)
 
 
-_FACTS = ("id", "n_a", "n_b", "n_groups", "groups_sha256")
+_FACTS = ("id", "n_a", "n_b", "n_groups", "groups_sha256", "groups")
 
 
 def align_blocks(
-    docs: DataFrame, id_col: str, text_col: str, byte_path: str, piece_path: str, block_bytes: int
+    docs: DataFrame, id_col: str, text_col: str, byte_path: str, piece_path: str, block_bytes: int, keep_groups: bool
 ) -> DataFrame:
     """Rows (block, path) of the files with documents and links, rows (block, pair, n) of each block's distinct pairs."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     folder = scratch_path(docs.sparkSession, "aligned")
 
     def saved(ids: list, found: list, kind: pa.DataType, block: int) -> pa.RecordBatch:
-        n_a, n_b, links, digests = zip(*found)
+        n_a, n_b, links, digests, groups = zip(*found)
         counts = np.fromiter(map(len, links), np.int64, len(links))
         pairs, places, n = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
         ends = np.concatenate([[0], np.cumsum(counts)])
         path = new_name(folder, ".arrow")
         columns = [
             pa.array(ids, kind), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(counts),
-            pa.array(digests), pa.LargeListArray.from_arrays(pa.array(ends), pa.array(places.astype(np.uint32))),
+            pa.array(digests), pa.array(groups, pa.large_string()), pa.LargeListArray.from_arrays(pa.array(ends), pa.array(places.astype(np.uint32))),
         ]
         save_table(path, pa.table(columns, names=[*_FACTS, "links"]))
         return pa.record_batch(
@@ -185,7 +181,9 @@ def align_blocks(
             for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
                 text = text.as_py()
                 ids.append(doc_id)
-                found.extend(engine.align([text]))
+                *counts, links, groups = engine.align(text)
+                digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+                found.append((*counts, links, digest, groups if keep_groups else None))
                 size += len(text.encode())
                 if size >= block_bytes:
                     yield saved(ids, found, kind, block)
@@ -212,8 +210,10 @@ def align_tokens(
     byte_path: str = BYTE_VOCABULARY,
     piece_path: str = PIECE_MODEL,
     block_bytes: int = BLOCK_BYTES,
+    keep_groups: bool = False,
 ) -> DataFrame:
-    """Per row: id, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256``.
+    """Per row: id, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256``; with
+    ``keep_groups`` also ``groups``, the alignment as text (``a1,a2|b1;a3|b2,b3``).
 
     ``count_sum`` adds over the row's links how often the corpus links their two ids; ``n_best`` is how many of them
     link a B id with its most frequent partner, ties included. A null or empty text, and one whose bytes either
@@ -221,7 +221,7 @@ def align_tokens(
     rows of their own. Other columns are not read, so their names cannot clash. An empty table gives no rows. A task
     holds one block of documents, or one document if that is longer; a frequent pair has one row per block.
     """
-    blocks = land(align_blocks(docs, id_col, text_col, byte_path, piece_path, block_bytes), "aligned-blocks")
+    blocks = land(align_blocks(docs, id_col, text_col, byte_path, piece_path, block_bytes, keep_groups), "aligned-blocks")
     pairs = blocks.filter(F.col("pair").isNotNull()).select("block", "pair", "n")
     known = pairs.select("block", "pair").join(pair_counts(pairs), "pair")
     files = blocks.filter(F.col("path").isNotNull()).select("block", "path")
@@ -238,10 +238,11 @@ def align_tokens(
         sums = [np.diff(np.concatenate([[0], np.cumsum(x[places])])[ends]) for x in (best, count)]
         facts = [own.column(c) for c in _FACTS]
         columns = [*facts[:4], facts[3], pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.int64()), facts[4]]
-        return pa.table(columns, names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-
-    return both.groupBy("block").applyInArrow(
-        run,
-        f"`{id_col}` {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
-        "groups_sha256 string",
-    )
+        names = [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+        if keep_groups:
+            columns, names = [*columns, facts[5].cast(pa.string())], [*names, "groups"]
+        return pa.table(columns, names=names)
+
+    schema = f"`{id_col}` {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
+    schema += "groups_sha256 string" + (", groups string" if keep_groups else "")
+    return both.groupBy("block").applyInArrow(run, schema)

@@ -85,6 +85,13 @@ def test_odd_rows_against_brute_force(spark, block_bytes):
     assert rows_of(got) == sorted(brute(rows), key=repr)
 
 
+def test_groups_as_text(spark):
+    df = spark.createDataFrame(ODD, "doc_id long, text string")
+    for r in align.align_tokens(df, keep_groups=True).collect():
+        want = hashlib.sha256(r.groups.encode()).hexdigest() if r.groups else ""
+        assert r.groups_sha256 == want and r.n_groups == (r.groups.count(";") + 1 if r.groups else 0)
+
+
 def test_very_long_text_and_empty_table(spark):
     df = spark.createDataFrame(ODD, "doc_id long, text string")
     got = {r.doc_id: r for r in align.align_tokens(df).collect()}
@@ -107,7 +114,7 @@ def test_ranks_give_the_ids_of_the_library():
     engine = align.ByteTokens(align.BYTE_VOCABULARY)
     for _ in range(3000):
         text = "".join(pick.choices("aAbeé ß\n\t'sdn  日0٣½.,!<|>_\x1c\x85😀", k=pick.randint(1, 40)))
-        assert engine.encode([text]) == [encode_a(text)]
+        assert engine.encode(text).tolist() == encode_a(text)
 
 
 def test_pointers_lead_to_the_last_token_of_each_component():
