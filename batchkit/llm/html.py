@@ -20,7 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchkit.llm.sampling import first_texts
+
 TRAINING_PAGES = 200  # bound of the sample the network is trained on
+LONGEST_SAMPLE = 1 << 16  # bytes of a page in it
 MADE_PAGES = 600  # pages put together from its texts
 EPOCHS = 8
 PATH_SIZE, WORD_SIZE, MEASURES = 256, 48, 5
@@ -355,10 +358,11 @@ def training_pages(sample: list[str], made: int = MADE_PAGES, seed: int = 5) ->
 
 
 def train(pages: DataFrame, id_col: str, html_col: str, most: int = TRAINING_PAGES) -> Labeller:
-    """The network for these pages, from the pages first in order of a hash of their id; the same on every run."""
-    sample = pages.select(F.xxhash64(F.col(f"`{id_col}`")).alias("order"), F.col(f"`{html_col}`").alias("html"))
-    short = sample.filter(F.octet_length("html").between(1, 1 << 16)).orderBy("order", "html").limit(most)
-    return Labeller(PATH_SIZE + WORD_SIZE + MEASURES).fit(*training_pages([row.html for row in short.collect()]))
+    """The network for these pages, from the pages of at most ``LONGEST_SAMPLE`` bytes that come first in order of a hash
+    of their id; the same on every run."""
+    html = F.col(f"`{html_col}`")
+    short = F.when(F.octet_length(html).between(1, LONGEST_SAMPLE), html)
+    return Labeller(PATH_SIZE + WORD_SIZE + MEASURES).fit(*training_pages(first_texts(pages, id_col, short, most)))
 
 
 def main_texts(network: Labeller, pages: list[str]) -> list[str]:

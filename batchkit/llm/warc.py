@@ -1,7 +1,7 @@
 """WARC archives in Zstandard: written and read record by record, with a shared dictionary.
 
 An archive begins with a skippable frame that holds the dictionary; then every record is a frame of its own. A payload
-that occurred before, by its SHA-1, is a revisit of the record that holds it.
+that occurred before, by its SHA-256, is a revisit of the record that holds it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchkit.llm.files import created, new_name, opened
+from batchkit.llm.sampling import first_texts
 from batchkit.session import land, scratch_path
 
 # Fixed values of the formats.
@@ -39,11 +40,8 @@ class BrokenArchive(ValueError):
 
 def train_dictionary(pages: DataFrame, id_col: str, html_col: str) -> bytes:
     """A dictionary from a bounded sample: the pages first in order of a hash of their id."""
-    sample = pages.select(
-        F.xxhash64(F.col(f"`{id_col}`")).alias("order"), F.substring(F.col(f"`{html_col}`"), 1, SAMPLE_CHARS).alias("html")
-    )
-    rows = sample.filter("html IS NOT NULL AND html <> ''").orderBy("order", "html").limit(SAMPLE_PAGES).collect()
-    texts = [r.html.encode() for r in rows]
+    start = F.substring(F.col(f"`{html_col}`"), 1, SAMPLE_CHARS)
+    texts = [text.encode() for text in first_texts(pages, id_col, F.when(start != "", start), SAMPLE_PAGES)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except zstandard.ZstdError:  # too few or too small samples
