@@ -12,6 +12,7 @@ from batchkit.functions.text import digest
 from batchkit.operators import checks
 from batchkit.session import scratch_path
 from batchkit.sources import csv, files, layers
+from batchkit.sources.records import LINE
 
 
 @query(
@@ -153,6 +154,15 @@ def head_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.typed_scan(spark, path, rows.schema)
 
 
+@query("SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) + 1 AS line FROM documents ORDER BY doc_id LIMIT 100")
+def file_order_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 100 records of files written in the order of ids, with their ordinals, from the first file alone."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "head")
+    csv.write_csv(rows.orderBy("doc_id"), path)
+    return csv.head_scan(spark, path, rows.schema, 100).select("doc_id", "text", F.col(LINE).alias("line"))
+
+
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
 def content_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", digest(F.col("text")).alias("sha256"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchkit.errors import DataError, SchemaError
-from batchkit.operators.keyed import KEY, merge_cells
+from batchkit.operators.keyed import KEY, TABLE_OPTIONS, merge_cells
 from batchkit.session import land
 
 BUCKET = "bucket"
@@ -35,7 +35,7 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BUCKET} int) USING parquet "
-        f"OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({BUCKET}) LOCATION '{path}' "
+        f"{TABLE_OPTIONS} PARTITIONED BY ({BUCKET}) LOCATION '{path}' "
         f"TBLPROPERTIES ('{_COUNT}' = '{buckets}')"
     )
 

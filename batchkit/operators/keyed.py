@@ -20,6 +20,9 @@ from batchkit.sources.layers import BIZ_DATE
 
 KEY = "row_key"
 
+# Of a table's files: a write replaces the folders it holds, and a filter on the key tells which row groups lack a key.
+TABLE_OPTIONS = f"OPTIONS ('partitionOverwriteMode' = 'dynamic', 'parquet.bloom.filter.enabled#{KEY}' = 'true')"
+
 
 def stamp(df: DataFrame, day: Column, entity: Column, update_time: str) -> DataFrame:
     """Add the row key, the business date and the time of the run.
@@ -63,7 +66,7 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BIZ_DATE} date) USING parquet "
-        f"OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({BIZ_DATE}) LOCATION '{path}'"
+        f"{TABLE_OPTIONS} PARTITIONED BY ({BIZ_DATE}) LOCATION '{path}'"
     )
     spark.catalog.recoverPartitions(name)
 
@@ -156,7 +159,7 @@ def prefix_scan(table: DataFrame, prefix: str) -> DataFrame:
 
 
 def point_get(table: DataFrame, key: str) -> DataFrame:
-    """The row of one key; key order inside the files lets the scan skip the other row groups."""
+    """The row of one key; key order and Bloom filters inside the files let the scan skip the other row groups."""
     return _within(table, key).filter(F.col(KEY) == key)
 
 

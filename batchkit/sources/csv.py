@@ -14,7 +14,7 @@ from batchkit.functions.dates import TIME_FORMAT
 from batchkit.functions.quotes import cell_count, ends_inside
 from batchkit.functions.text import na_to_null, strip_or_empty
 from batchkit.operators.checks import require_columns
-from batchkit.sources.records import FILE, LINE, RECORD, record_scan
+from batchkit.sources.records import FILE, LINE, RECORD, head_records, record_scan
 
 EXTRA_CELLS = "_extra_cells"
 SOURCE_FILE = FILE
@@ -31,13 +31,12 @@ def header(spark: SparkSession, path: str) -> list[str]:
 
 
 def _multiline_rows(
-    spark: SparkSession, path: str, schema: T.StructType, names: Sequence[str] | None, corrupt: str | None = None
+    records: DataFrame, schema: T.StructType, names: Sequence[str] | None, corrupt: str | None = None
 ) -> DataFrame:
     """The cells of records that may hold line breaks, with ``_file`` and ``_line``, parsed as Spark's reader parses.
 
     With ``names``, a file whose header has others raises. ``corrupt`` keeps the text of records that do not fit.
     """
-    records = record_scan(spark, path)
     fields = [T.StructField(f"c{n}", field.dataType) for n, field in enumerate(schema)]
     options = {"escape": '"', "multiLine": "true", "timestampNTZFormat": TIME_FORMAT}
     if corrupt is not None:
@@ -75,7 +74,7 @@ def typed_scan(
     did not fit. Cells may hold line breaks with ``multiline``; see ``sources.records``.
     """
     if multiline:
-        rows = _multiline_rows(spark, path, schema, schema.names if strict else None, corrupt_column)
+        rows = _multiline_rows(record_scan(spark, path), schema, schema.names if strict else None, corrupt_column)
         return rows.drop(FILE, LINE)
     reader = _reader(spark).option("enforceSchema", not strict).option("timestampNTZFormat", TIME_FORMAT)
     if corrupt_column is not None:
@@ -85,6 +84,11 @@ def typed_scan(
     return reader.schema(schema).csv(path)
 
 
+def head_scan(spark: SparkSession, path: str, schema: T.StructType, n: int) -> DataFrame:
+    """The first ``n`` rows in the order of file names and lines, with ``_file`` and ``_line``; other files are not read."""
+    return _multiline_rows(head_records(spark, path, n), schema, None)
+
+
 def inferred_scan(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
     """Scan with inferred types. Inference is a pass of its own: prefer ``typed_scan`` on large input."""
     return _reader(spark).option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path)
@@ -94,7 +98,7 @@ def _text_rows(spark: SparkSession, path: str, names: Sequence[str], multiline:
     """The cells as text, under the names as written."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     if multiline:
-        return _multiline_rows(spark, path, schema, names, corrupt)
+        return _multiline_rows(record_scan(spark, path), schema, names, corrupt)
     reader = _reader(spark).option("enforceSchema", False)
     if corrupt is not None:
         schema = schema.add(corrupt, T.StringType())

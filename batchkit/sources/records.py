@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from itertools import groupby
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -254,6 +255,18 @@ def record_scan(
     )
 
 
-def first_records(records: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` records in the order of files and lines, headers not counted: a top-n, not a sort of all."""
+def head_records(spark: SparkSession, path: str | Sequence[str], n: int, sep: str = ",") -> DataFrame:
+    """The first ``n`` records behind the headers, in the order of file names and of lines.
+
+    Files are listed, not read, and looked at in growing groups until enough records are there; the records come out of
+    those files by a top-n, not a sort of all.
+    """
+    files = sorted(unquote(file) for file in spark.read.text(path).inputFiles())
+    found = at = 0
+    step = 1
+    while found < n and at < len(files):
+        group = files[at : at + step]
+        found += record_scan(spark, group, sep).filter(F.col(LINE) > 1).limit(n - found).count()
+        at, step = at + len(group), 2 * step
+    records = record_scan(spark, files[: max(at, 1)], sep)
     return records.filter(F.col(LINE) > 1).orderBy(FILE, LINE).limit(n)

@@ -149,3 +149,13 @@ def test_rejects_carry_the_ordinals_of_a_serial_reader(spark, tmp_path, small_sp
             elif row["amount"] == "-2":
                 want.append((n, orders.NEGATIVE))
     assert got == want and want
+
+
+def test_first_rows_in_the_order_of_files(spark, tmp_path, small_splits):
+    folder = str(tmp_path / "in dir")
+    for k in range(6):
+        put(folder, f"{k}.csv", "id,note\n" + "".join(f'{k}-{n},"a\n{n}"\n' for n in range(100)))
+    rows = csv.head_scan(spark, folder, spark.createDataFrame([], "id string, note string").schema, 150)
+    got = sorted((os.path.basename(r._file), r._line, r.id) for r in rows.collect())
+    assert got == [(f"{k}.csv", n + 2, f"{k}-{n}") for k in range(2) for n in range(100)][:150]
+    assert csv.head_scan(spark, folder, rows.select("id", "note").schema, 0).count() == 0

@@ -143,3 +143,22 @@ def test_first_rows_read_only_the_dates_they_need(spark, tmp_path):
     keyed.replace_slices(spark.createDataFrame([("00first", "x"), ("zz", "y")], "row_key string, v string").withColumn("biz_date", F.lit(None).cast("date")), name)
     assert [r.row_key for r in keyed.first_rows(spark, name, 2).collect()] == ["00first", want[0]]
     spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("key, rows", [("20240101#000050000x", 0), ("20240101#000050000", 1)])
+def test_an_absent_key_reads_no_row_group(spark, tmp_path, key, rows):
+    """Keys on both sides exist, and there are too many for a dictionary page: only the Bloom filter can tell."""
+    name = f"bloom_{uuid.uuid4().hex}"
+    made = spark.range(150_000).select(F.format_string("20240101#%09d", "id").alias("row_key"), F.lit("x").alias("v"))
+    made = made.withColumn("biz_date", F.lit("2024-01-01").cast("date"))
+    keyed.ensure_table(spark, name, made.schema, str(tmp_path / "t"))
+    keyed.replace_slices(made, name)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = keyed.point_get(spark.table(name), key)
+        assert len(got.collect()) == rows
+        scanned = got._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+        assert (scanned > 0) == (rows > 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sql(f"DROP TABLE {name}")
