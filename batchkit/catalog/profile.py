@@ -9,9 +9,12 @@ from batchkit.catalog.registry import query, table
 from batchkit.catalog.retail import TYPED, typed_rows
 from batchkit.functions.numbers import percent_text as percent
 from batchkit.operators import profile as ops
+from batchkit.operators import profile_slices
 from batchkit.operators.retail import COLUMNS
+from batchkit.plans.retail_job import PROFILE
 from batchkit.plans.retail_job import profile as retail_profile
-from batchkit.session import land
+from batchkit.session import land, scratch_path
+from batchkit.sources.layers import BIZ_DATE
 
 CORE = ("invoice_no", "description", "customer_id", "invoice_date")
 MEASURES = ("quantity", "unit_price")
@@ -174,3 +177,15 @@ def _report_sql() -> str:
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed table is landed once; each of the four aggregations reads only its columns."""
     return retail_profile(land(typed_rows(spark, sf_dir), "typed"))
+
+
+@query(_report_sql())
+def quality_report_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from summaries per date: all dates but the newest first, then the newest, written twice."""
+    dated = land(typed_rows(spark, sf_dir).withColumn(BIZ_DATE, F.to_date("invoice_date")), "dated")
+    newest = dated.agg(F.max(BIZ_DATE).alias("day")).first()["day"]
+    path = scratch_path(spark, "profile")
+    last = F.coalesce(F.col(BIZ_DATE) == F.lit(newest), F.lit(False))
+    for rows in (dated.filter(~last), dated.filter(last), dated.filter(last)):
+        profile_slices.update(rows, path, PROFILE)
+    return profile_slices.merged_report(spark, path, COLUMNS, PROFILE)

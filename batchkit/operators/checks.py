@@ -134,14 +134,19 @@ def require_readback(written: DataFrame, read: DataFrame) -> int:
     return diff["read"]
 
 
-def row_digests(df: DataFrame) -> DataFrame:
-    """One SHA-256 per row over all columns in order; times count to the microsecond."""
-    exact = {
+def row_digest(columns: Sequence[str]) -> Column:
+    """The SHA-256 of a row over the columns in order; times count to the microsecond."""
+    exact_times = {
         "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         "ignoreNullFields": "false",
     }
-    return df.select(digest(F.to_json(F.struct(*df.columns), exact)).alias("sha256"))
+    return digest(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), exact_times))
+
+
+def row_digests(df: DataFrame) -> DataFrame:
+    """One digest per row over all columns."""
+    return df.select(row_digest(df.columns).alias("sha256"))
 
 
 def copy_check(source: DataFrame, copy: DataFrame) -> DataFrame:

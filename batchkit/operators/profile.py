@@ -11,6 +11,10 @@ from batchkit.functions.numbers import percent_text, share
 from batchkit.functions.text import has_mark, or_label
 
 
+# Fixed value: the label under which missing values are counted.
+MISSING_LABEL = "缺失"
+
+
 def _long(row: DataFrame, names: Sequence[str], label: str, value: str) -> DataFrame:
     """One row per name from the one-row table ``row``; other columns are repeated."""
     ids = [c for c in row.columns if c not in names]
@@ -128,14 +132,15 @@ def repeat_copies(counted: DataFrame, alias: str = "extra_copies", chunk: int =
     )
 
 
-def top_values(df: DataFrame, column: str, n: int = 10, missing: str = "缺失") -> DataFrame:
+def top_values(df: DataFrame, column: str, n: int = 10, missing: str = MISSING_LABEL) -> DataFrame:
     """The ``n`` most frequent values with rank and count; missing ones under a label, ties by label."""
-    counted = (
-        df.groupBy(or_label(F.col(column), missing).alias("label"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy(F.desc("row_count"), "label")
-        .limit(n)
-    )
+    counted = df.groupBy(or_label(F.col(column), missing).alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
+    return ranked_values(counted, n)
+
+
+def ranked_values(counted: DataFrame, n: int) -> DataFrame:
+    """The ``n`` first of (label, row_count) by count, ties by label, with their rank."""
+    counted = counted.orderBy(F.desc("row_count"), "label").limit(n)
     # At most n rows are left: rank them as the positions of one sorted array.
     ranked = counted.agg(
         F.sort_array(F.collect_list(F.struct((-F.col("row_count")).alias("_k"), "label", "row_count"))).alias("_top")
@@ -193,16 +198,42 @@ def quality_report(
     Four aggregations: all plain metrics in one pass, the distinct counts, the duplicates and the
     most frequent values.
     """
-    columns = df.columns
-    rows, total = F.count(F.lit(1)).alias("row_count"), F.col("row_count")
-    plain = df.agg(
-        rows,
+    return report_of(
+        df.agg(*plain_metrics(df.columns, mark, measures, time)),
+        distinct_counts(df, list(distinct.values())),
+        duplicate_count(df, wide),
+        top_values(df, top),
+        df.columns,
+        distinct,
+        measures,
+        core,
+    )
+
+
+def plain_metrics(columns: Sequence[str], mark: str, measures: Sequence[str], time: str) -> list[Column]:
+    """The aggregates of one pass: counts, and the first and last time."""
+    return [
+        F.count(F.lit(1)).alias("row_count"),
         F.count_if(has_mark(F.col(mark))).alias("marked"),
         *anomaly_exprs(measures),
         F.min(time).alias("first_time"),
         F.max(time).alias("last_time"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-    )
+    ]
+
+
+def report_of(
+    plain: DataFrame,
+    distinct_row: DataFrame,
+    duplicates: DataFrame,
+    top: DataFrame,
+    columns: Sequence[str],
+    distinct: Mapping[str, str],
+    measures: Sequence[str],
+    core: Sequence[str],
+) -> DataFrame:
+    """The lines of the report from its four parts."""
+    total = F.col("row_count")
     lines = [
         _text("file", "row_count", total),
         _text("file", "column_count", F.lit(len(columns))),
@@ -221,14 +252,14 @@ def quality_report(
     parts = [
         _lines(plain, lines),
         _lines(
-            distinct_counts(df, list(distinct.values())),
+            distinct_row,
             [_text("size", name, F.col(f"distinct_{c}")) for name, c in distinct.items()],
         ),
         _lines(
-            duplicate_count(df, wide),
+            duplicates,
             [_text("duplicates", "count", repeats), _share("duplicates", "share", repeats, total)],
         ),
-        top_values(df, top).select(
+        top.select(
             F.lit("top").alias("section"),
             F.concat(F.col("rank").cast("string"), F.lit(" "), F.col("label")).alias("metric"),
             F.col("row_count").cast("string").alias("value"),

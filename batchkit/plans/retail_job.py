@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from batchkit.operators.profile import collapse_duplicates, quality_report
+from batchkit.operators.profile_slices import ProfileSpec
 from batchkit.operators.retail import COLUMNS, STANDARD_NAMES, clean, coerce_types, normalise
-from batchkit.sources.csv import na_scan, require_whole_lines, untouched_scan, write_csv
+from batchkit.sources.csv import SOURCE_FILE, head_scan, header, na_scan, require_whole_lines, untouched_scan, write_csv
 from batchkit.sources.layers import require_new_layer
+from batchkit.sources.records import LINE
 
 SAMPLE_ROWS = 1000
 
@@ -20,7 +23,8 @@ def prepare_raw(
     multiline: bool = False,
     sample_rows: int = SAMPLE_ROWS,
 ) -> list[str]:
-    """Standard names and column order, values as they are; optionally a sample of the first rows in key order.
+    """Standard names and column order, values as they are; optionally a sample of the first rows: those of the source
+    in the order of its files and lines.
 
     Returns the names of columns that are not taken over. Cells with line breaks need ``multiline`` and
     raise without.
@@ -32,7 +36,10 @@ def prepare_raw(
     rows = normalise(rows)
     write_csv(rows, raw)
     if sample is not None:
-        write_csv(rows.orderBy(*COLUMNS).limit(sample_rows), sample, single_file=True)
+        names = header(spark, source)
+        schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in names])
+        first = head_scan(spark, source, schema, sample_rows).coalesce(1).sortWithinPartitions(SOURCE_FILE, LINE)
+        write_csv(normalise(first), sample, single_file=True)
     return extra
 
 
@@ -48,23 +55,24 @@ def land_typed(spark: SparkSession, raw: str, typed: str, multiline: bool = Fals
     return spark.read.parquet(typed)
 
 
+PROFILE = ProfileSpec(
+    distinct={
+        "invoices": "invoice_no",
+        "products": "stock_code",
+        "customers": "customer_id",
+        "countries": "country",
+    },
+    mark="invoice_no",
+    measures=("quantity", "unit_price"),
+    core=("invoice_no", "description", "customer_id", "invoice_date"),
+    time="invoice_date",
+    top="country",
+)
+
+
 def profile(typed: DataFrame) -> DataFrame:
     """The quality report of the typed retail table."""
-    return quality_report(
-        typed,
-        distinct={
-            "invoices": "invoice_no",
-            "products": "stock_code",
-            "customers": "customer_id",
-            "countries": "country",
-        },
-        mark="invoice_no",
-        measures=("quantity", "unit_price"),
-        core=("invoice_no", "description", "customer_id", "invoice_date"),
-        time="invoice_date",
-        top="country",
-        wide=("description",),
-    )
+    return quality_report(typed, **vars(PROFILE), wide=("description",))
 
 
 def write_clean(typed: DataFrame, source: str, target: str, quarantine: str) -> None:
