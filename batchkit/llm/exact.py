@@ -125,18 +125,20 @@ def exact_duplicates(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; rows that repeat id and text leave one."""
+    """The rows that stay, with all their columns, whatever their names; rows that repeat id and text leave one.
+
+    A null text equals an empty one, a null id is larger than none. An empty table gives no rows.
+    """
     decided = land(exact_duplicates(docs, id_col, text_col), "decided")
-    stays = decided.filter("kept").select(F.col(id_col).alias("_stay_id"), F.col("text_sha256").alias("_stay_sha"))
-    repeated = land(
-        decided.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(id_col).alias("_stay_id")),
-        "repeated",
-    )
-    text_id = F.col(f"`{id_col}`")
-    same = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256) == F.col("_stay_sha")
-    rest = docs.join(stays, text_id.eqNullSafe(F.col("_stay_id")) & same, "left_semi")
-    if repeated.isEmpty():
-        return rest
-    again = text_id.eqNullSafe(F.col("_stay_id"))
-    once = rest.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col])
-    return rest.join(repeated, again, "left_anti").unionByName(once)
+    stays = decided.filter("kept").select(F.col(f"`{id_col}`").alias("stay_id"), F.col("text_sha256").alias("stay_sha"))
+    counted = decided.groupBy(F.col(f"`{id_col}`").alias("stay_id")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = land(counted.filter("n > 1").select("stay_id"), "repeated")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(f"`{id_col}`").alias("id"), F.sha2(text, 256).alias("sha"))
+    own = F.col("id").eqNullSafe(F.col("stay_id"))
+    rest = rows.join(stays, own & (F.col("sha") == F.col("stay_sha")), "left_semi")
+    if not repeated.isEmpty():
+        once = rest.join(repeated, own, "left_semi").dropDuplicates(["id", "sha"])
+        rest = rest.join(repeated, own, "left_anti").unionByName(once)
+    return rest.select("row.*")

@@ -88,7 +88,7 @@ POLICIES = {
     # Repeated lines by their share of words, long words only in scripts written with spaces.
     "v2": BASE | mask_of("many_symbols", "repeated_line_words", "short_words", "long_spaced_words", "few_letters"),
 }
-CURRENT = "v1"
+CURRENT = "v2"
 
 
 def _names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -174,10 +174,14 @@ def apply_policy(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
-    """The rows the policy keeps, with all their columns as they were."""
-    measured = docs.withColumn("_quality_m", _measures(F.col(f"`{text_col}`")))
-    row = measured.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "_quality_m.*")
-    kept = apply_policy(row.withColumn("failed", failed_bits()), policy).filter("kept")
+    """The rows the policy keeps, with all their columns as they were, whatever their names.
+
+    Null and empty texts have no words and go. Rows that repeat an id or a text are judged one by one; an empty table
+    gives no rows.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    measured = docs.select(row, _measures(F.col(f"`{text_col}`")).alias("_m")).select("_row", "_m.*")
+    kept = apply_policy(measured.withColumn("failed", failed_bits()), policy).filter("kept")
     return kept.select("_row.*")
 
 

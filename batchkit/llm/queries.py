@@ -88,9 +88,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
         FROM documents),
     lines AS (
-        SELECT doc_id, count(*) AS n, count(DISTINCT line) AS n_distinct
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
-        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        SELECT doc_id, sum(n - 1)::bigint AS n_again, sum((n - 1) * n_words)::bigint AS n_words_again
+        FROM (SELECT doc_id, line, count(*) AS n, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words
+              FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+              WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL)
+        GROUP BY doc_id),
     windows AS (
         SELECT doc_id, start, array_to_string(words[start:start + 7], ' ') AS part
         FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS start FROM texts)),
@@ -102,14 +104,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT t.doc_id, cast(len(words) AS bigint) AS n_words,
                cast(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS bigint) AS word_chars,
                cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
-               coalesce(l.n - l.n_distinct, 0) AS n_dup_lines, coalesce(l.n, 0) AS n_lines,
+               coalesce(l.n_again, 0) AS n_dup_lines, coalesce(l.n_words_again, 0) AS n_dup_line_words,
                coalesce(c.n, 0) AS n_repeat_words,
-               len(list_filter(words, lambda w: regexp_matches(w, '^\pL|\pL$'))) AS n_alpha_words
+               len(list_filter(words, lambda w: regexp_matches(w, '^\pL|\pL$'))) AS n_alpha_words,
+               list_filter(words, lambda w: NOT regexp_matches(w, '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{312F}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}]'))
+                   AS spaced
         FROM texts t LEFT JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * n_symbols > 10 * n_words
-                OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                OR 100 * n_dup_line_words > 30 * n_words OR word_chars < 2 * n_words
+                OR coalesce(list_sum(list_transform(spaced, lambda w: length(w))), 0) > 15 * len(spaced)
                 OR 100 * n_alpha_words < 70 * n_words) AS kept
     FROM measured
     """

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from batchkit.llm import quality
+from batchkit.session import land
 
 LABELLED = "/root/testdata/sf0.1"
 
@@ -10,7 +11,7 @@ LABELLED = "/root/testdata/sf0.1"
 def test_policy_v2_keeps_labelled_documents(spark):
     docs = spark.read.parquet(f"{LABELLED}/documents.parquet")
     labels = spark.read.parquet(f"{LABELLED}/labels.parquet").filter("quality = 1").select("doc_id")
-    rows = quality.ledger(docs.join(labels, "doc_id")).localCheckpoint()
+    rows = land(quality.ledger(docs.join(labels, "doc_id")), "ledger")
     kept = {p: {r.doc_id for r in quality.apply_policy(rows, p).filter("kept").collect()} for p in ("v1", "v2")}
     other = quality.POLICIES["v1"] & ~quality.mask_of("repeated_lines")
     lost = rows.filter((F.col("failed").bitwiseAND(F.lit(other)) == 0) & (F.col("failed") != 0))

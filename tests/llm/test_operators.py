@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import zlib
 
 import numpy as np
@@ -115,6 +116,18 @@ def test_exact_copies_over_many_blocks(odd):
     assert exact.drop_copies(odd).count() == 6
 
 
+def test_rows_that_stay_keep_their_columns(spark):
+    rows = [(1, None), (1, ""), (1, "a"), (1, "a"), (2, "a"), (None, "b"), (None, "b"), (3, "b")]
+    clash = ("row", "id", "sha", "stay_id", "stay_sha", "n", "_stay_id", "_quality_m", "_m", "_row", "failed")
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in clash})
+    got = exact.drop_copies(df)
+    assert got.columns == df.columns and sorted((r.doc_id, r.text or "", r.sha) for r in got.collect()) == [
+        (1, "", "sha"), (2, "a", "sha"), (3, "b", "sha")]
+    long = " ".join(f"word{k}" for k in range(40))
+    named = df.limit(1).withColumn("text", F.lit(long)).unionByName(df)
+    assert [r["_quality_m"] for r in quality.keep_documents(named).collect()] == ["_quality_m"]
+
+
 def brute_components(texts, width):
     sets = {}
     for i, t in texts.items():
@@ -219,26 +232,55 @@ def test_line_templates(spark):
     assert all(r.n_lines == 3 and "Session" not in r.clean_text and r.clean_text.endswith("end") for r in got)
 
 
-def test_pipeline_against_its_parts(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    kept = {i: t for i, t in texts.items() if keeps(t)}
+def sampled(docs):
+    """The mixing stage by plain systematic sampling: how often each document is taken."""
+    sizes = {i: len(quality.WORD.findall(t)) for i, (t, _) in docs.items()}
+    sources = sorted({s for _, s in docs.values()}, key=lambda s: (s is None, s))
+    total = {s: sum(sizes[i] for i, (_, own) in docs.items() if own == s) for s in sources}
+    weight = {s: (3, 1, 2)[n % 3] for n, s in enumerate(sources)}
+    target, left, free = {}, 1.5 * sum(total.values()), list(sources)
+    while True:
+        level = left / sum(weight[s] for s in free) if free else 0
+        over = [s for s in free if level * weight[s] > 2 * total[s]]
+        if not over:
+            return sizes, {**target, **{s: level * weight[s] for s in free}}
+        for s in over:
+            target[s] = 2.0 * total[s]
+            left -= target[s]
+            free.remove(s)
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Every stage on texts of the given table; the mix is held to its targets and to whole copies."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(260).collect()
+    copied = [(r.doc_id + 10_000, r.text, r.lang, r.source, r.n_chars) for r in rows[:20]]
+    near = [(r.doc_id + 20_000, f"{r.text} and", r.lang, r.source, r.n_chars) for r in rows[:20]]
+    docs = spark.createDataFrame([tuple(r) for r in rows] + copied + near, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r[0]: (r[1], r[3]) for r in [tuple(r) for r in rows] + copied + near if keeps(r[1])}
     last = {}
-    for i, t in kept.items():
+    for i, (t, _) in kept.items():
         last[t] = max(i, last.get(t, i))
-    unique = {i: t for t, i in last.items()}
-    near = minhash.near_duplicates(docs.filter(F.col("doc_id").isin(list(unique))), shingle_words=5)
-    stay = {r.doc_id for r in near.collect() if r.kept}
-    got = corpus_pipeline.run(spark, SF).select("doc_id", "ids").collect()
-    assert {r.doc_id for r in got} <= stay
+    comp = brute_components({i: t for t, i in last.items()}, 5)
+    stay = {i: kept[i] for i, c in comp.items() if i == c}
+    assert 0 < len(stay) < len(last) < len(kept) < len(rows) + 40
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "ids").collect()
+    assert {r.doc_id for r in got} <= set(stay)
     library = bpe.encoding(bpe.RANKS, bpe.PATTERN)
-    assert all(library.decode(r.ids) == texts[r.doc_id] for r in got)
+    assert all(r.ids == library.encode_ordinary(stay[r.doc_id][0]) for r in got)
+    sizes, target = sampled(stay)
+    times = {i: sum(r.doc_id == i for r in got) for i in stay}
+    for s, wanted in target.items():
+        own = [i for i in stay if stay[i][1] == s]
+        rate = wanted / max(1, sum(sizes[i] for i in own))
+        assert all(math.floor(rate) <= times[i] <= min(2, math.ceil(rate)) for i in own)
+        assert abs(sum(times[i] * sizes[i] for i in own) - wanted) <= 2 * max(sizes[i] for i in own)
 
 
 def keeps(text):
     m = dict(zip(quality.MEASURES, quality.measure(text)))
     n = m["n_words"]
     return not (
-        n < 20 or 100 * m["n_repeat_words"] > 30 * n or 100 * m["n_symbols"] > 10 * n or 100 * m["n_dup_lines"] > 30 * m["n_lines"]
-        or m["word_chars"] < 2 * n or m["word_chars"] > 15 * n or 100 * m["n_alpha_words"] < 70 * n
+        n < 20 or 100 * m["n_repeat_words"] > 30 * n or 100 * m["n_symbols"] > 10 * n or 100 * m["n_dup_line_words"] > 30 * n
+        or m["word_chars"] < 2 * n or m["spaced_chars"] > 15 * m["n_spaced_words"] or 100 * m["n_alpha_words"] < 70 * n
     )
