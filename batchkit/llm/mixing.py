@@ -149,26 +149,28 @@ def mix(
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: every row as often as it is taken, with all its columns.
+    """The mix itself: every row as often as it is taken, with all its columns, whatever their names.
 
-    Rows that repeat id and source share the copies of their group.
+    Rows that repeat id and source share the copies of their group; null ids and null sources are equal to each other
+    here. A null text has no words and is never taken. An empty table gives no rows.
     """
     plan = mix(docs, id_col, text_col, source_col, **options)
     shares = land(
-        plan.groupBy(F.col(f"`{id_col}`").alias("_mix_id"), F.col(f"`{source_col}`").alias("_mix_source"))
-        .agg(F.sum("copies").alias("_mix_copies"), F.count(F.lit(1)).alias("_mix_rows"))
-        .filter("_mix_copies > 0"),
+        plan.groupBy(F.col(f"`{id_col}`").alias("own_id"), F.col(f"`{source_col}`").alias("own_source"))
+        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+        .filter("copies > 0"),
         "shares",
     )
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_mix_id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("_mix_source"))
-    joined = docs.join(shares, same)
-    single = joined.filter("_mix_rows = 1").withColumn("_mix_n", F.col("_mix_copies"))
-    nth = F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
-    several = joined.filter("_mix_rows > 1").withColumn("_mix_nth", nth)
-    part = F.expr("_mix_copies * _mix_nth div _mix_rows - _mix_copies * (_mix_nth - 1) div _mix_rows")
-    several = several.withColumn("_mix_n", part)
-    every = single.select(*docs.columns, "_mix_n")
-    if not shares.filter("_mix_rows > 1").isEmpty():
-        every = every.unionByName(several.select(*docs.columns, "_mix_n"))
-    copied = every.filter("_mix_n > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_mix_n")))
-    return copied.select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keys = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source")]
+    packed = docs.select(row, *keys, F.xxhash64(F.col(f"`{text_col}`")).alias("order"))
+    same = F.col("id").eqNullSafe(F.col("own_id")) & F.col("source").eqNullSafe(F.col("own_source"))
+    joined = packed.join(shares, same)
+    every = joined.filter("rows = 1").select("row", F.col("copies").alias("n"))
+    if not shares.filter("rows > 1").isEmpty():
+        nth = F.row_number().over(Window.partitionBy("id", "source").orderBy("order"))
+        several = joined.filter("rows > 1").withColumn("nth", nth)
+        part = F.expr("copies * nth div rows - copies * (nth - 1) div rows").alias("n")
+        every = every.unionByName(several.select("row", part))
+    copied = every.filter("n > 0").select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    return copied.select("row.*")

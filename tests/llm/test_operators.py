@@ -192,6 +192,20 @@ def test_mix_keeps_to_its_targets(spark, odd):
     assert mixing.mix_documents(odd).columns == odd.columns
 
 
+def test_mixed_rows_are_whole_copies(odd):
+    clash = odd.withColumns({c: F.lit("y") for c in ("_mix_id", "_mix_n", "own_id", "rows", "copies", "order", "nth")})
+    planned = {}
+    for r in mixing.mix(odd).collect():
+        key = r.doc_id, r.source
+        planned[key] = planned.get(key, 0) + r.copies
+    got = {}
+    for r in mixing.mix_documents(clash).collect():
+        key = r.doc_id, r.source
+        assert r["_mix_id"] == "y" and (*key[:1], r.text, key[1]) in ODD
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in planned.items() if n} and got
+
+
 def test_quality_ledger_and_ablation(odd):
     ledger = quality.ledger(odd)
     for r in quality.ablation(ledger).collect():
