@@ -234,8 +234,8 @@ def count_tokens(
 ) -> DataFrame:
     """Per row: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit``.
 
-    Texts are mapped chunk by chunk; only the maps are shuffled and composed, so a long text is never held whole by a
-    Python task. A null or empty text has no tokens. Rows that repeat an id, and null ids, are rows of their own. Other
+    Texts are mapped chunk by chunk; only the maps are shuffled and composed. A chunk without a place to start anew is
+    its own map, so a text without spaces is put together and counted in one task. A null or empty text has no tokens. Rows that repeat an id, and null ids, are rows of their own. Other
     columns are not read. An empty table gives no rows.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))

@@ -285,7 +285,7 @@ def with_starts(shards: DataFrame) -> DataFrame:
 def read_documents(shards: DataFrame, id_type: str = "bigint", id_col: str = "doc_id") -> DataFrame:
     """Per document, from the files: id, ``start``, ``n_tokens``, ``ids_crc32`` of the ids as little-endian 32 bits."""
     count = shards.count()
-    # One task per shard and no more; files are listed by row, so a task opens its own only.
+    # As many tasks as shards, dealt by a hash; files are listed by row, so a task opens its own only.
     rows = shards.select("file", "start").repartition(max(1, count), "file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
