@@ -11,7 +11,7 @@ from batchkit.functions.numbers import to_number
 from batchkit.functions.text import digest
 from batchkit.operators import checks
 from batchkit.session import scratch_path
-from batchkit.sources import csv, files, layers
+from batchkit.sources import csv, digests, files, layers
 from batchkit.sources.records import LINE
 
 
@@ -97,6 +97,31 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("event_id", to_number(F.col("value")).alias("value"), to_time(F.col("ts")).alias("ts"))
 
 
+@query(
+    """
+    WITH lines AS (
+        SELECT o_orderkey, concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) || chr(10) AS line
+        FROM orders),
+    placed AS (
+        SELECT *, coalesce(sum(strlen(line)) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                  // 65536 AS block
+        FROM lines),
+    hashed AS (
+        SELECT block, sum(strlen(line)) AS n, sha256(string_agg(line, '' ORDER BY o_orderkey)) AS sha256
+        FROM placed GROUP BY block)
+    SELECT cast(sum(n) AS bigint) AS size_bytes, count(*) AS blocks, sha256(string_agg(sha256, '' ORDER BY block)) AS sha256
+    FROM hashed
+    """
+)
+def file_tree_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest tree of one text file of all orders, in blocks of 64 KiB."""
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(",", *columns).alias("line"))
+    path = scratch_path(spark, "tree")
+    rows.coalesce(1).sortWithinPartitions("o_orderkey").select("line").write.text(path)
+    return digests.tree_digests(spark, path, block_bytes=1 << 16).drop("name")
+
+
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn(layers.BIZ_DATE, F.col("ts").cast("date"))
 

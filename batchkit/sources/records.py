@@ -44,11 +44,20 @@ def text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("start"),
             F.col("value").cast("binary").alias("line"),
+            F.col("_metadata.file_size").alias("file_size"),
         )
     )
 
 
-def _of_splits(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def with_split_facts(lines: DataFrame, facts: DataFrame, broadcast_splits: int = BROADCAST_SPLITS) -> DataFrame:
+    """The lines with what ``facts`` (file, start, ...) says of their split; a split's lines stay together and in order."""
+    if facts.count() <= broadcast_splits:
+        return lines.join(F.broadcast(facts), _KEY)
+    placed = lines.withColumn("place", F.monotonically_increasing_id())
+    return placed.join(facts, _KEY).repartition(*_KEY).sortWithinPartitions(*_KEY, "place").drop("place")
+
+
+def of_splits(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
     """The batch cut where another split begins."""
     at = 0
     for key, same in groupby(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist())):
@@ -138,7 +147,7 @@ def split_functions(lines: DataFrame, sep: str = ",", limit: int = MAX_RECORD_BY
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, readers = None, []
         for batch in batches:
-            for key, part in _of_splits(batch):
+            for key, part in of_splits(batch):
                 if key != current:
                     if current is not None:
                         yield row(current, readers)
@@ -208,7 +217,7 @@ def cut_records(lines: DataFrame, sep: str = ",", limit: int = MAX_RECORD_BYTES)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, reader, before = None, None, 0
         for batch in batches:
-            for key, part in _of_splits(batch):
+            for key, part in of_splits(batch):
                 if key != current:
                     current, before = key, part.column("before")[0].as_py()
                     reader = _Reader(part.column("inside")[0].as_py(), mark, limit)
@@ -242,12 +251,7 @@ def record_scan(
     """
     lines = text_lines(spark, path)
     states = land(split_states(split_functions(lines, sep, max_record_bytes)), "splits")
-    begins = states.select(*_KEY, "inside", "before")
-    if states.count() <= broadcast_splits:
-        known = lines.join(F.broadcast(begins), _KEY)
-    else:
-        placed = lines.withColumn("place", F.monotonically_increasing_id())
-        known = placed.join(begins, _KEY).repartition(*_KEY).sortWithinPartitions(*_KEY, "place")
+    known = with_split_facts(lines, states.select(*_KEY, "inside", "before"), broadcast_splits)
     cut = cut_records(known.select(*_KEY, "line", "inside", "before"), sep, max_record_bytes)
     records = cut.withColumn("record", F.col("record").cast("string")).unionByName(stitch(states, max_record_bytes))
     return records.select(
