@@ -12,6 +12,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,9 +38,11 @@ CACHED_WORDS = 1 << 20
 CACHED_CHARS = 64  # longer words are not kept
 JOINED_WORDS = 4096  # words encoded in one call
 
-# The tokenizer cuts at white space, and between a letter and a full stop or comma. Only Latin letters are cut off:
-# normalising or lower case turns some others, and the dotted capital I, into a letter and a mark.
-_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+(?=[ \n.,]|\Z)|[^ \n]+")
+# The tokenizer cuts at white space, and between a letter and an ASCII symbol. Only Latin letters are cut off: normalising
+# or lower case turns some others, and the dotted capital I, into a letter and a mark.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
+_PARTS = re.compile(_LETTERS + r"(?=[ -/:-@\[-`{-~\n]|\Z)|[^ \n]+")
+_one_unit = re.compile(_LETTERS).fullmatch
 
 
 class WaveletMatrix:
@@ -52,10 +55,10 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         planes, zeros, counts = [], [], []
         for bit in reversed(range(bits)):
-            ones = (ids >> ids.dtype.type(bit) & ids.dtype.type(1)).astype(bool)
+            ones = (ids & ids.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            steps = np.add.reduceat(ones, np.arange(0, len(ones), STEP), dtype=np.int64) if len(ones) else np.empty(0, np.int64)
-            counts.append(np.concatenate([[0], np.cumsum(steps)]))
+            steps = np.bitwise_count(np.pad(planes[-1], (0, -len(planes[-1]) % (STEP // 8)))).reshape(-1, STEP // 8)
+            counts.append(np.concatenate([[0], np.cumsum(steps.sum(axis=1, dtype=np.int64))]))
             left = ids[~ones]
             zeros.append(len(left))
             ids = np.concatenate([left, ids[ones]])
@@ -166,14 +169,15 @@ def load_tokenizer(path: str) -> tokenizers.Tokenizer:
 class WordEncoder:
     """Encodes texts word by word, words part by part; both are kept, up to ``CACHED_WORDS`` of them.
 
-    Special tokens inside a text contain no space and stay within a part unless they follow a letter's full stop or
-    comma, where a part begins anyway.
+    Special tokens inside a text contain no space and begin with a symbol: a part begins there if a letter comes before
+    them, and they stay within a part otherwise.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
@@ -181,7 +185,7 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         words = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = {word for own in words for word in own}.difference(self.known)
+        fresh = set().union(*words).difference(self.known)
         self._learn(fresh)
         result = [np.frombuffer(b"".join(map(self.known.__getitem__, own)), self.kind) for own in words]
         for word in self.long:
@@ -191,27 +195,28 @@ class WordEncoder:
         return result
 
     def _learn(self, words: set[str]) -> None:
-        parts = {word: _PARTS.findall(word) for word in words}
-        missing = {part for own in parts.values() for part in own}.difference(self.known)
+        # A word of ASCII letters is one part.
+        parts = {word: _PARTS.findall(word) for word in words if not (word.isascii() and word.isalpha())}
+        missing = words.difference(parts).union(*parts.values()).difference(self.known)
         learnt: dict[str, bytes] = {}
-        # A word of ASCII letters is one unit of the tokenizer in any surroundings; upper case makes no difference.
-        plain = sorted({part.lower() for part in missing if part.isascii() and part.isalpha()})
-        for start in range(0, len(plain), JOINED_WORDS):
-            group = plain[start : start + JOINED_WORDS]
-            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, self.kind)
+        # Latin letters are one unit of the tokenizer in any surroundings; upper case makes no difference.
+        plain = sorted({part.lower() for part in missing if _one_unit(part)})
+        groups = [plain[start : start + JOINED_WORDS] for start in range(0, len(plain), JOINED_WORDS)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(group) for group in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined):
+            ids = np.array(found.ids, self.kind)
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) == len(group):
-                learnt.update(zip(group, (a.tobytes() for a in np.split(ids, ends[:-1]))))
-        rest = [part for part in missing if not part.isascii() or part.lower() not in learnt]
+                data, cuts = ids.tobytes(), (ends * self.kind.itemsize).tolist()
+                learnt.update(zip(group, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
+        rest = [part for part in missing if not _one_unit(part) or part.lower() not in learnt]
         for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            learnt[part] = np.array(found.ids, self.kind).tobytes()
-        for part in missing:
-            learnt[part] = learnt[part] if part in learnt else learnt[part.lower()]
+            learnt[part] = array(self.code, found.ids).tobytes()
+        learnt.update([(part, learnt[part.lower()]) for part in missing.difference(learnt)])
         known = self.known
-        for word, own in parts.items():
-            learnt[word] = b"".join(learnt[part] if part in learnt else known[part] for part in own)
         known.update(learnt)
-        self.long = [word for word in learnt if len(word) > CACHED_CHARS]
+        known.update([(word, b"".join([known[part] for part in own])) for word, own in parts.items()])
+        self.long = [word for word in {*learnt, *parts} if len(word) > CACHED_CHARS]
 
 
 @lru_cache(maxsize=1)
@@ -237,8 +242,9 @@ def write_shards(
     shards. A document is never split; one longer than ``shard_tokens`` makes a shard of its own size.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).repartitionByRange("id")
-    rows = rows.sortWithinPartitions("id", F.xxhash64("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).withColumn("order", F.xxhash64("text"))
+    # Ranges are cut by the text too, so that rows without an id, or with one that repeats, go to several tasks.
+    rows = rows.repartitionByRange("id", "order").sortWithinPartitions("id", "order").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(path)
