@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from batchkit.llm import bpe, exact, minhash, mixing, quality
 from batchkit.session import land
 
+BLOCK_BYTES = 4 << 20  # text of a block of the last stage
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the current quality policy keeps."""
@@ -33,8 +35,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document taken: its token ids, and digests of them and of their decoding."""
-    return bpe.encode(docs, keep_ids=True)
+    """Per document taken: its token ids, and digests of them and of their decoding.
+
+    The ids stay in the rows, so a task holds smaller blocks than the operator's default.
+    """
+    return bpe.encode(docs, keep_ids=True, block_bytes=BLOCK_BYTES)
 
 
 STAGES = [
