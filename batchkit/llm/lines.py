@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from batchkit.session import land
 
 LEADING = 3  # tokens that lead through the tree
-LEAST_TOKENS = 5  # default for callers; the registered query asks for lines of every size
+LEAST_TOKENS = 1  # lines of every size
 LEAST_DOCUMENTS = 2  # different texts a template must be in
 LEVELS = tuple(2 * 4**i for i in range(12))  # different lines of a leaf that must hold a token, level by level
 VARIABLE = "<*>"

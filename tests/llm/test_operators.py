@@ -242,8 +242,12 @@ def test_main_text_on_held_out_layouts(spark):
 
 def test_line_templates(spark):
     rows = [(i, f"own words of text {'abcdefghij'[i]} here {'klmnopqrst'[i]}\nSession 4{i} opened for user bob{i}\nend") for i in range(10)]
-    got = lines.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.drop_recurring_lines(docs, least_tokens=5).collect()
     assert all(r.n_lines == 3 and "Session" not in r.clean_text and r.clean_text.endswith("end") for r in got)
+    # Short lines recur by themselves and go unless a caller spares them.
+    got = lines.drop_recurring_lines(docs).collect()
+    assert len(got) == 10 and all("end" not in r.clean_text.split("\n") for r in got)
 
 
 def sampled(docs):
