@@ -32,7 +32,8 @@ BAND = 6
 BANDS = REGISTERS // BAND
 EMPTY = 0xFFFF
 CACHED_WORDS = 1 << 20
-TILE = 256  # members of a bucket that are compared with as many others in one place
+TILE = 2048  # members of a bucket that are compared with as many others in one place
+TILE_SHINGLES = 1 << 22  # shingles of such members together
 
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -92,8 +93,10 @@ _LENDERS = np.random.default_rng(13).permuted(np.tile(np.arange(REGISTERS), (REG
 def bands(sketched: np.ndarray) -> np.ndarray:
     """A hash per band of a sketch that has values."""
     empty = sketched == EMPTY
-    borrowed = _LENDERS[np.arange(REGISTERS), np.argmax(~empty[_LENDERS], axis=1)]
-    filled = np.where(empty, sketched[borrowed], sketched).astype(np.uint64)
+    filled = sketched.astype(np.uint64)
+    places = np.flatnonzero(empty)
+    lenders = _LENDERS[places]
+    filled[places] = sketched[lenders[np.arange(len(places)), np.argmax(~empty[lenders], axis=1)]]
     runs = filled[: BANDS * BAND].reshape(BANDS, BAND)
     mixed = np.arange(1, BANDS + 1).astype(np.uint64)
     for i in range(BAND):
@@ -169,9 +172,8 @@ class _Tiles:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [np.asarray(batch.column(c)) for c in self.COLUMNS]
-            sketches = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            now = [np.concatenate(x) for x in zip(held, [*new, sketches])] if held else [*new, sketches]
+            new = self.columns(batch)
+            now = [np.concatenate(x) for x in zip(held, new)] if held else new
             key = np.stack(now[:3], axis=1)
             # The last run may go on in the next batch.
             last = len(key) - int(np.argmax((key[::-1] != key[-1]).any(axis=1))) if (key != key[-1]).any() else 0
@@ -181,19 +183,16 @@ class _Tiles:
         if held:
             yield self.pairs(held)
 
-    def pairs(self, columns: list[np.ndarray]) -> pa.RecordBatch:
-        bucket, low, high, part, node, comp, n, sketches = columns
-        run = np.cumsum(np.r_[0, (np.diff(bucket) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)])
-        own: dict[int, np.ndarray] = {}
-
-        def first_band(i: int, j: int) -> int:
-            """The first bucket two rows share; there the pair is told, in the others it is not."""
-            for row in (i, j):
-                if row not in own:
-                    own[row] = bands(sketches[row])
-            return own[i][np.argmax(own[i] == own[j])]
+    def columns(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        sketches = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        return [*[np.asarray(batch.column(c)) for c in self.COLUMNS], sketches]
 
-        found: list[tuple[int, int]] = []
+    def plausible(self, columns: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of the two rows of each pair, told in the first bucket they share only."""
+        bucket, low, high, part, node, comp, n, sketches = columns[:8]
+        run = np.cumsum(np.r_[0, (np.diff(bucket) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)])
+        own = np.empty((len(run), BANDS), np.int64)
+        known = np.zeros(len(run), bool)
         for step in range(1, len(run)):
             i = np.flatnonzero(run[:-step] == run[step:])
             if not len(i):
@@ -204,9 +203,63 @@ class _Tiles:
             i, j = i[fits], j[fits]
             if len(i):
                 likely = can_reach(sketches[i], sketches[j], n[i].astype(float), n[j].astype(float), self.minimum / 100)
-                found += [(a, b) for a, b in zip(i[likely].tolist(), j[likely].tolist()) if first_band(a, b) == bucket[a]]
-        ends = np.sort(node[np.array(found, np.int64).reshape(-1, 2)], axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+                i, j = i[likely], j[likely]
+                for row in np.unique(np.r_[i, j]):
+                    if not known[row]:
+                        own[row], known[row] = bands(sketches[row]), True
+                same = own[i] == own[j]
+                first = own[i, np.argmax(same, axis=1)] == bucket[i]
+                yield i[first], j[first]
+
+    def pairs(self, columns: list[np.ndarray]) -> pa.RecordBatch:
+        node = columns[4]
+        found = [np.stack([node[i], node[j]], axis=1) for i, j in self.plausible(columns)]
+        return _ends(np.concatenate(found) if found else np.empty((0, 2), np.int64))
+
+
+def _ends(pairs: np.ndarray) -> pa.RecordBatch:
+    ends = np.sort(pairs, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
+class _TileRows(_Tiles):
+    """The rows that have a plausible partner, each once, instead of the pairs: never more than come in."""
+
+    def pairs(self, columns: list[np.ndarray]) -> pa.RecordBatch:
+        needed = np.zeros(len(columns[0]), bool)
+        for i, j in self.plausible(columns):
+            needed[i] = needed[j] = True
+        return pa.RecordBatch.from_arrays([pa.array(x[needed]) for x in columns[:7]], names=list(self.COLUMNS))
+
+
+class _TileLinks(_Tiles):
+    """Links confirmed on full sets, as many as join the components of a tile: fewer than its rows."""
+
+    def columns(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        sets = batch.column("shingles")
+        flat, at = np.asarray(sets.flatten()).view(np.uint64), np.asarray(sets.offsets) - sets.offsets[0].as_py()
+        cut = np.empty(batch.num_rows, object)
+        cut[:] = [flat[begin:end] for begin, end in zip(at[:-1], at[1:])]
+        return [*super().columns(batch), cut]
+
+    def pairs(self, columns: list[np.ndarray]) -> pa.RecordBatch:
+        node, comp, sets = columns[4], columns[5], columns[8]
+        names, root = np.unique(comp, return_inverse=True)
+        joined = np.arange(len(names))
+        found = []
+        for i, j in self.plausible(columns):
+            for a, b in zip(i.tolist(), j.tolist()):
+                left, right = joined[root[a]], joined[root[b]]
+                if left == right:
+                    continue
+                n = len(sets[a]) + len(sets[b])
+                both = np.concatenate([sets[a], sets[b]])
+                both.sort(kind="stable")
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                if 100 * shared >= self.minimum * (n - shared):
+                    joined[joined == right] = left
+                    found.append((node[a], node[b]))
+        return _ends(np.array(found, np.int64).reshape(-1, 2))
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
@@ -299,67 +352,39 @@ class _Linker:
     def __init__(self, sketches: DataFrame, members: DataFrame, sets: DataFrame, minimum: int):
         self.spark = sketches.sparkSession
         self.sketches, self.sets, self.minimum = sketches, sets, minimum
-        self.members = members.withColumn("comp", F.col("node"))
+        self.members = members
         self.labels = land(members.select("node", F.col("node").alias("comp")).distinct(), "labels")
-        self.tested: DataFrame | None = None
 
-    def close_buckets(self) -> tuple[int, int]:
-        """Leave out the buckets that have one component only: for good, as components do not part again.
+    def open_buckets(self) -> tuple[DataFrame, DataFrame] | None:
+        """(bucket, slices) of the buckets with several components, and their members; None without any.
 
-        Returns the pairs of different components in the others, and their rows.
+        The others are done with for good, as components do not part again.
         """
-        labelled = land(self.members.drop("comp").join(self.labels, "node"), "labelled")
-        per = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        buckets = per.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        self.open = land(buckets.filter("n * n > same"), "open")
-        self.members = land(labelled.join(self.open.select("bucket"), "bucket", "left_semi"), "members")
-        found = self.open.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
-        return int(found[0] or 0), int(found[1] or 0)
-
-    def star(self, turn: int) -> DataFrame:
-        """Pairs of each bucket's centre, another one every turn, with the members of other components."""
-        rows = self.members.select("bucket", "node", "comp", F.xxhash64("node", F.lit(turn)).alias("order"))
-        dealt = rows.repartition("bucket").sortWithinPartitions("bucket", "order", "node")
-        return dealt.select("bucket", "node", "comp").mapInArrow(_Stars(), "a bigint, b bigint")
-
-    def rest(self) -> DataFrame:
-        """All pairs of different components that share a bucket and can be similar enough, each once.
-
-        The members of a bucket are dealt to slices of about ``TILE``; every two slices meet in one place, where their
-        sketches are compared. Only plausible pairs leave it.
-        """
-        slices = self.open.select("bucket", F.ceil(F.col("n") / TILE).cast("bigint").alias("slices"))
-        rows = self.members.join(slices, "bucket")
-        rows = rows.withColumn("slice", F.pmod(F.xxhash64("node", F.lit("slice")), "slices"))
-        rows = rows.join(self.sketches, "node")
-        met = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)))
-        met = met.select(
-            "bucket", F.least("slice", "other").alias("low"), F.greatest("slice", "other").alias("high"),
-            "slice", "node", "comp", "n", "registers",
+        labelled = self.members.join(self.labels, "node").join(self.sketches.select("node", "n"), "node")
+        labelled = land(labelled, "labelled")
+        buckets = labelled.groupBy("bucket").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"),
+            F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TILE_SHINGLES)).cast("bigint").alias("slices"),
         )
-        key = ["bucket", "low", "high"]
-        dealt = met.repartition(*key).sortWithinPartitions(*key)
-        return dealt.mapInArrow(_Tiles(self.minimum), "a bigint, b bigint")
+        still = land(buckets.filter("low <> high").select("bucket", "slices"), "open")
+        return None if still.isEmpty() else (still, labelled)
 
-    def link(self, pairs: DataFrame, likely: bool = False) -> None:
-        """Test pairs not tested before and join the components of those that are similar enough.
+    def stars(self) -> DataFrame:
+        """Pairs of each bucket's centre with its other members. The order of centres is the same in all buckets."""
+        rows = self.members.select("bucket", "node", F.col("node").alias("comp"), F.xxhash64("node", F.lit(0)).alias("order"))
+        dealt = rows.repartition("bucket").sortWithinPartitions("bucket", "order", "node")
+        return dealt.select("bucket", "node", "comp").mapInArrow(_Stars(), "a bigint, b bigint").distinct()
 
-        ``likely``: the pairs are distinct and plausible already.
-        """
-        fresh = pairs if likely else pairs.distinct()
-        if self.tested is not None:
-            fresh = fresh.join(self.tested, ["a", "b"], "left_anti")
-        fresh = land(fresh, "pairs")
-        self.tested = fresh if self.tested is None else self.tested.unionByName(fresh)
+    def link_stars(self) -> None:
+        """Join the components of the star pairs that are similar enough."""
+        pairs = land(self.stars(), "pairs")
         for end in ("a", "b"):
-            facts = ["n"] if likely else ["n", "registers"]
-            ends = self.sketches.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in facts])
-            fresh = fresh.join(ends, end)
-        if not likely:
-            least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-            sized = fresh.filter(100 * least >= self.minimum * most)
-            fresh = sized.filter(_plausible(self.minimum / 100)("registers_a", "registers_b", "n_a", "n_b"))
-        checked = land(fresh.select("a", "b", "n_a", "n_b"), "likely")
+            ends = self.sketches.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "registers")])
+            pairs = pairs.join(ends, end)
+        least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+        sized = pairs.filter(100 * least >= self.minimum * most)
+        likely = sized.filter(_plausible(self.minimum / 100)("registers_a", "registers_b", "n_a", "n_b"))
+        checked = land(likely.select("a", "b", "n_a", "n_b"), "likely")
         for end in ("a", "b"):
             ends = self.sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
             checked = checked.join(ends, end)
@@ -367,6 +392,33 @@ class _Linker:
         similar = 100 * shared >= self.minimum * (F.col("n_a") + F.col("n_b") - shared)
         self.labels = relabel(self.labels, land(checked.filter(similar).select("a", "b"), "links"), self.spark)
 
+    def link_rest(self) -> None:
+        """Join all components with a link between members that share a bucket.
+
+        The members of a bucket are dealt to slices; every two slices meet in one tile, where their sketches are compared.
+        Rows with a plausible partner meet in the same tile once more, now with their sets, and links that join components
+        leave it. Pairs stay inside the tiles, so a large group of half-similar texts costs time but no rows.
+        """
+        found = self.open_buckets()
+        if found is None:
+            return
+        still, labelled = found
+        rows = labelled.join(still, "bucket").join(self.sketches.select("node", "registers"), "node")
+        rows = rows.withColumn("slice", F.pmod(F.xxhash64("node", F.lit("slice")), "slices"))
+        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))
+        met = rows.withColumn("other", other).select(
+            "bucket", F.least("slice", "other").alias("low"), F.greatest("slice", "other").alias("high"),
+            "slice", "node", "comp", "n", "registers",
+        )
+        key = ["bucket", "low", "high"]
+        dealt = met.repartition(*key).sortWithinPartitions(*key)
+        kinds = ", ".join(f"{c} bigint" for c in _Tiles.COLUMNS)
+        needed = land(dealt.mapInArrow(_TileRows(self.minimum), kinds), "needed")
+        full = needed.join(self.sketches.select("node", "registers"), "node").join(self.sets, "node")
+        dealt = full.repartition(*key).sortWithinPartitions(*key)
+        links = land(dealt.mapInArrow(_TileLinks(self.minimum), "a bigint, b bigint").distinct(), "links")
+        self.labels = relabel(self.labels, links, self.spark)
+
 
 def _components(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, minimum: int) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and (id, key, comp) per class of rows with the same words: its smallest id and its component."""
@@ -384,13 +436,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle_words: int,
     sets = land(shingle_sets(docs, wanted, id_col, text_col, shingle_words), "sets")
 
     linker = _Linker(wanted.select("node", "n", "registers"), members, sets, minimum)
-    for turn in range(8):
-        linker.link(linker.star(turn))
-        pairs, rows_open = linker.close_buckets()
-        if pairs <= 4 * rows_open:
-            break
-    if pairs:
-        linker.link(linker.rest(), likely=True)
+    linker.link_stars()
+    linker.link_rest()
 
     of_node = classes.select("node", "id", "key").join(linker.labels, "node", "left")
     of_node = land(of_node.select("id", "key", F.coalesce("comp", "node").alias("comp")), "components")
@@ -407,9 +454,9 @@ def near_duplicates(
     """Per row: id, ``n_shingles``, ``component_id`` (smallest id linked over any path), ``kept``.
 
     Documents are linked if 100 * shared shingles >= ``minimum`` * all shingles of both. Rows with the same words are
-    one class, so exact copies cost nothing beyond their row. In every bucket a centre is tested against members of
-    other components, with new centres as long as many pairs are open; the last step tests all pairs that are still in
-    different components, so no link between components is lost and large groups of copies are never paired up.
+    one class, so exact copies cost nothing beyond their row. In every bucket a centre is tested against the other
+    members; then all pairs that are still in different components are tested, tile by tile, and only links that join
+    components leave a tile. So no link between components is lost and large groups of copies are never paired up.
 
     A null or empty text has no shingles and is linked with nothing. Rows without id take part; an id is null only if
     all rows of the component lack one. Rows that repeat an id are rows of their own. Other columns are not read. An
