@@ -103,13 +103,25 @@ def _wide(trimmed: Column) -> Column:
     return _let(_digits(trimmed), lambda d: _sized(d["number"], d["digits"], d["scale"], d["negative"], d["small"]))
 
 
-def _chosen(plain: Column, wide: Column) -> Column:
-    return F.struct(
-        plain.alias("plain"),
-        wide["wide"].alias("wide"),
-        F.when(plain.isNull(), wide["fault"]).alias("fault"),
-        F.coalesce(plain < 0, wide["negative"], F.lit(False)).alias("negative"),
-    )
+def _chosen(plain: Column, text: Column) -> Column:
+    """The struct of a number whose text is looked at only if it is not plain.
+
+    Each part is computed once, and as the whole is no plain struct, Spark does not work it out again for every field.
+    """
+
+    def parts(plain: Column, wide: Column) -> Column:
+        return F.struct(
+            plain.alias("plain"),
+            wide["wide"].alias("wide"),
+            F.when(plain.isNull(), wide["fault"]).alias("fault"),
+            F.coalesce(plain < 0, wide["negative"], F.lit(False)).alias("negative"),
+        )
+
+    def known(plain: Column) -> Column:
+        wide = F.when(plain.isNull(), _let(F.coalesce(text, F.lit("")), _wide))
+        return _let(wide, lambda wide: parts(plain, wide))
+
+    return _let(plain, known)
 
 
 def is_short(trimmed: Column, digits: int, places: int) -> Column:
@@ -126,17 +138,18 @@ def from_text(text: Column) -> Column:
 
     The text is trimmed; a short one without exponent goes through a cast.
     """
-    trimmed = strip_ws(text)
-    plain = F.when(is_short(trimmed, _PLAIN_DIGITS, _PLAIN_DECIMALS), trimmed.try_cast(AMOUNT_TYPE))
-    return _chosen(plain, F.when(plain.isNull(), _wide(F.coalesce(trimmed, F.lit("")))))
+
+    def parsed(trimmed: Column) -> Column:
+        return _chosen(F.when(is_short(trimmed, _PLAIN_DIGITS, _PLAIN_DECIMALS), trimmed.try_cast(AMOUNT_TYPE)), trimmed)
+
+    return _let(strip_ws(text), parsed)
 
 
 def from_double(number: Column) -> Column:
     """The same of a double, which stands for a short decimal that is read back as it."""
     plain = number.try_cast(AMOUNT_TYPE)
     same = (plain.cast("double") == number) & (F.abs(number) < 10.0**_PLAIN_DIGITS)
-    plain = F.when(same, plain)
-    return _chosen(plain, F.when(plain.isNull(), _wide(F.coalesce(number.cast("string"), F.lit("")))))
+    return _chosen(F.when(same, plain), number.cast("string"))
 
 
 def product(left: Column, right: Column) -> Column:
