@@ -114,12 +114,12 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def file_tree_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digest tree of one text file of all orders, in blocks of 64 KiB."""
+    """The digest tree of one text of all orders, sorted and written as many files, in blocks of 64 KiB."""
     columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(",", *columns).alias("line"))
     path = scratch_path(spark, "tree")
-    rows.coalesce(1).sortWithinPartitions("o_orderkey").select("line").write.text(path)
-    return digests.tree_digests(spark, path, block_bytes=1 << 16).drop("name")
+    rows.orderBy("o_orderkey").select("line").write.text(path)
+    return digests.tree_digests(spark, path, block_bytes=1 << 16, parts=True).drop("name")
 
 
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
