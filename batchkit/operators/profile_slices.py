@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from batchkit.functions.text import or_label
 from batchkit.operators.checks import row_digest
 from batchkit.operators.profile import MISSING_LABEL, plain_metrics, ranked_values, report_of
+from batchkit.session import land
 from batchkit.sources.layers import BIZ_DATE, read_layer, write_slices
 
 TIMES = {"first_time": F.min, "last_time": F.max}
@@ -63,7 +64,8 @@ def merged_report(spark: SparkSession, path: str, columns: Sequence[str], spec:
             if c != BIZ_DATE
         ]
     )
-    by_value = values.groupBy("column", "value").agg(F.sum("n").alias("row_count"))
+    # Two parts of the report look at the merged values; the stored ones are as many as the rows in the worst case.
+    by_value = land(values.groupBy("column", "value").agg(F.sum("n").alias("row_count")), "by-value")
     different = by_value.filter(F.col("value").isNotNull()).agg(
         *[F.count_if(F.col("column") == c).alias(f"distinct_{c}") for c in spec.distinct.values()]
     )
