@@ -297,7 +297,9 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     """(node, shingles) of the wanted classes (node, id, key), from a row with the class's id and words."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     asked = wanted.select("node", F.col("id").alias("wanted_id"), "key")
-    found = rows.join(asked, F.col("id").eqNullSafe(F.col("wanted_id"))).select("node", "key", "text")
+    # Merged at every size: the classes grow with the corpus, and so small input shows the plan and the disk of large.
+    same = F.col("id").eqNullSafe(F.col("wanted_id"))
+    found = rows.join(asked.hint("merge"), same).select("node", "key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle_words)
@@ -498,7 +500,8 @@ def drop_near_copies(
     stays = stays.join(counts, F.col("id").eqNullSafe(F.col("_id")))
     stays = land(stays.select(F.col("id").alias("_stay_id"), F.col("key").alias("_stay_key"), "_stay_rows"), "stays")
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("_stay_id"))
-    once = docs.join(stays.filter("_stay_rows = 1"), same, "left_semi")
+    # Merged at every size, as in shingle_sets.
+    once = docs.join(stays.filter("_stay_rows = 1").hint("merge"), same, "left_semi")
     several = stays.filter("_stay_rows > 1")
     if several.isEmpty():
         return once

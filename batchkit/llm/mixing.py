@@ -165,7 +165,8 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keys = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source")]
     packed = docs.select(row, *keys, F.xxhash64(F.col(f"`{text_col}`")).alias("order"))
     same = F.col("id").eqNullSafe(F.col("own_id")) & F.col("source").eqNullSafe(F.col("own_source"))
-    joined = packed.join(shares, same)
+    # Merged at every size: the shares grow with the corpus, and so small input shows the plan and the disk of large.
+    joined = packed.join(shares.hint("merge"), same)
     every = joined.filter("rows = 1").select("row", F.col("copies").alias("n"))
     if not shares.filter("rows > 1").isEmpty():
         nth = F.row_number().over(Window.partitionBy("id", "source").orderBy("order"))
