@@ -5,44 +5,268 @@ branches leave one of the first tokens open, or lead by the last tokens. In a le
 different lines have it in its place. Small and large templates mixed in one leaf are told apart by levels: a line has
 a name per level, its tokens constant at that level with the others variable, if these are two thirds or more. Names
 that recur across documents are templates, and so is every masked line that does; their lines are dropped.
+
+Texts are written once, in blocks, with the digests and leaves of their lines. A block sends each of its leaves once and
+hears which of them hold other lines too; only lines of those are sent, to their leaves. It drops the lines whose names recur.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections import Counter
+from collections.abc import Iterator
+from hashlib import blake2b, md5
+from itertools import groupby
+from operator import itemgetter
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from batchkit.session import land
+from batchkit.llm.files import load_table, new_name, save_table
+from batchkit.session import land, scratch_path
 
 LEADING = 3  # tokens that lead through the tree
 LEAST_TOKENS = 1  # lines of every size
 LEAST_DOCUMENTS = 2  # different texts a template must be in
 LEVELS = tuple(2 * 4**i for i in range(12))  # different lines of a leaf that must hold a token, level by level
 VARIABLE = "<*>"
+BLOCK_CHARS = 8 << 20  # a block of texts ends above it
+LEAF_TOKENS = 1 << 20  # leaves with more tokens are counted by all tasks together
 
+_SPACES = re.compile(r" [ \t\r\x0b\f]+|[\t\r\x0b\f][ \t\r\x0b\f]*")
+_find_digit = re.compile("[0-9]").search
+_NUMBERED = re.compile("(?<![^ ])[^ 0-9]*+[0-9][^ ]*+")
 
-def masked(text: Column) -> Column:
-    """A text whose tokens have one space between them, those with a digit as the variable mark; lines stay lines.
 
-    The whole text goes through each pattern once, so no part of it is worked out again for every line.
-    """
-    spaced = F.regexp_replace(text, r" [ \t\r\x0b\f]++|[\t\r\x0b\f][ \t\r\x0b\f]*+", " ")
-    return F.regexp_replace(spaced, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", VARIABLE)
+def masked(line: str) -> str:
+    """A line whose tokens have one space between them, those with a digit as the variable mark."""
+    if "  " in line or "\t" in line or "\r" in line or "\x0b" in line or "\f" in line:
+        line = _SPACES.sub(" ", line)
+    line = line.strip(" ")
+    return _NUMBERED.sub(VARIABLE, line) if _find_digit(line) else line
+
+
+def _branches(content: str, size: int, leading: int) -> bytes:
+    """The leaves of a line, 8 bytes each: by its first tokens, with one of them open, and by its last tokens."""
+    head, last = content.split(" ", leading + 1)[: leading + 1], content.rsplit(" ", leading)[1:]
+    ways = [head[:leading], *[head[:i] + head[i + 1 :] for i in range(leading)], last]
+    return b"".join([blake2b(f"{size} {way} {' '.join(own)}".encode(), digest_size=8).digest() for way, own in enumerate(ways)])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*[column.to_pylist() for column in batch.columns])
+
+
+def _number(digests: np.ndarray) -> np.ndarray:
+    """The first 8 bytes of digests of 16."""
+    return digests.view("<i8")[::2]
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _bytes(digests: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(16), len(digests), [None, pa.py_buffer(digests.tobytes())]).cast(pa.binary())
+
+
+def _write_blocks(docs: DataFrame, folder: str, id_col: str, text_col: str, leading: int, least_tokens: int) -> DataFrame:
+    """One row per block: its number and file. ``<file>.texts`` holds ids and texts, ``<file>.lines`` the lines' digests.
+
+    A line of ``leading`` tokens or fewer is alone in its leaf and has none.
+    """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("digest"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+
+    def block(own: pa.Table) -> str:
+        places, keys, leaves, digests = [], [], [], []
+        for at, whole in enumerate(own.column("text").to_pylist()):
+            digests.append(md5(whole.encode()).digest())
+            for line, content in enumerate(map(masked, whole.split("\n"))):
+                size = content.count(" ") + 1
+                if content and size >= least_tokens:
+                    places.append((at, line, size))
+                    keys.append(md5(content.encode()).digest())
+                    if size > leading:
+                        leaves.append(_branches(content, size, leading))
+        placed = np.array(places, np.int32).reshape(-1, 3)
+        ends = np.cumsum(np.concatenate([[0], (placed[:, 2] > leading) * (leading + 2)])).astype(np.int32)
+        kinds = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(leaves), "<i8")))
+        texts = _number(np.frombuffer(b"".join(digests), "S16"))[placed[:, 0]]
+        columns = {"doc": placed[:, 0], "line": placed[:, 1], "size": placed[:, 2], "text": texts}
+        columns = {name: pa.array(np.ascontiguousarray(values)) for name, values in columns.items()}
+        file = new_name(folder, "")
+        save_table(f"{file}.texts", own.append_column("digest", pa.array(digests, pa.binary())).combine_chunks())
+        save_table(f"{file}.lines", pa.table({**columns, "key": pa.array(keys, pa.binary(16)), "leaves": kinds}))
+        return file
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, turn, held, chars = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def written() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"block": [first + turn], "file": [block(pa.Table.from_batches(held))]})
+
+        for batch in batches:
+            sizes, start = pa.compute.binary_length(batch.column("text")).to_pylist(), 0
+            for end, size in enumerate(sizes, 1):
+                chars += size
+                if chars >= BLOCK_CHARS:
+                    held.append(batch.slice(start, end - start))
+                    yield written()
+                    start, turn, held, chars = end, turn + 1, [], 0
+            if start < len(sizes):
+                held.append(batch.slice(start))
+        if held:
+            yield written()
+
+    return land(rows.mapInArrow(run, "block bigint, file string"), "blocks")
+
+
+class _Lines:
+    """The lines of a block and its kinds: the different ones among them, in order of their digests."""
+
+    def __init__(self, file: str):
+        table = load_table(f"{file}.lines").combine_chunks()
+        read = lambda name: table.column(name).to_numpy()
+        self.doc, self.line, self.size, self.text = read("doc"), read("line"), read("size"), read("text")
+        keys = np.frombuffer(b"".join(table.column("key").to_pylist()), "S16")
+        self.key, self.at, self.kind = np.unique(keys, return_index=True, return_inverse=True)
+        self.leaves = table.column("leaves").combine_chunks().take(pa.array(self.at))
+        # The kind of each leaf of a kind.
+        self.owner = np.repeat(np.arange(len(self.at)), np.diff(self.leaves.offsets.to_numpy()))
+        self.leaf = self.leaves.flatten().to_numpy()
+
+    def texts(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(kind, text) of the different texts of each kind, ``most`` of a kind at most; in order of kinds."""
+        order = np.lexsort((self.text, self.kind))
+        kind, text = self.kind[order], self.text[order]
+        new = np.ones(len(kind), bool)
+        new[1:] = (kind[1:] != kind[:-1]) | (text[1:] != text[:-1])
+        kind, text = kind[new], text[new]
+        kept = np.arange(len(kind)) - np.searchsorted(kind, kind) < most
+        return kind[kept], text[kept]
+
+
+def _block_tasks(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition(max(1, blocks.count()), "block")
+
+
+def _open_leaves(blocks: DataFrame) -> DataFrame:
+    """(block, leaf, hot) of the leaves that hold different lines. A leaf is one row per block that knows it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, file in _rows(batches):
+            own = _Lines(file)
+            if len(own.leaf):
+                order = np.argsort(own.leaf, kind="stable")
+                leaf, kind = own.leaf[order], own.owner[order]
+                starts = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
+                key = _number(own.key)[kind]
+                tokens = np.add.reduceat(own.size[own.at[kind]].astype(np.int64), starts)
+                low, high = np.minimum.reduceat(key, starts), np.maximum.reduceat(key, starts)
+                columns = [np.full(len(starts), number), leaf[starts], low, high, tokens]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "leaf", "low", "high", "tokens"])
+
+    known = _block_tasks(blocks).mapInArrow(run, "block bigint, leaf bigint, low bigint, high bigint, tokens bigint")
+    same = Window.partitionBy("leaf")
+    known = known.select(
+        "block", "leaf", (F.min("low").over(same) != F.max("high").over(same)).alias("open"), F.sum("tokens").over(same).alias("tokens")
+    )
+    return land(known.filter("open").select("block", "leaf", (F.col("tokens") > LEAF_TOKENS).alias("hot")), "leaves")
+
+
+def _by_block(blocks: DataFrame, others: DataFrame) -> DataFrame:
+    """A block's rows together, that with its file first."""
+    rows = blocks.unionByName(others, allowMissingColumns=True)
+    return rows.repartition(max(1, blocks.count()), "block").sortWithinPartitions("block", F.col("file").asc_nulls_last())
+
+
+def _members(blocks: DataFrame, leaves: DataFrame, least_documents: int) -> DataFrame:
+    """(leaf, key, content, block, texts) of the lines in the leaves, once per block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows in groupby(_rows(batches), itemgetter(0)):
+            file = next(rows)[1]
+            wanted = np.array([leaf for _, _, leaf in rows], np.int64)
+            if not len(wanted):
+                continue
+            own = _Lines(file)
+            found = np.flatnonzero(np.isin(own.leaf, wanted))
+            owner = own.owner[found]
+            kinds = np.unique(owner)
+            whole, lines, contents = load_table(f"{file}.texts").column("text"), (None, []), {}
+            for kind, doc, line in sorted(zip(kinds.tolist(), own.doc[own.at[kinds]].tolist(), own.line[own.at[kinds]].tolist()), key=itemgetter(1)):
+                if lines[0] != doc:
+                    lines = doc, whole[doc].as_py().split("\n")
+                contents[kind] = masked(lines[1][line])
+            kind, text = own.texts(least_documents)
+            starts, ends = np.searchsorted(kind, owner, "left").tolist(), np.searchsorted(kind, owner, "right").tolist()
+            texts = [text[a:b].tolist() for a, b in zip(starts, ends)]
+            # In parts, as a line goes to each of its leaves.
+            for start in range(0, len(found), 4096):
+                part = slice(start, start + 4096)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(own.leaf[found[part]]), _bytes(own.key[owner[part]]),
+                        pa.array([contents[k] for k in owner[part].tolist()], pa.string()),
+                        pa.array(np.full(len(found[part]), number)), pa.array(texts[part], pa.list_(pa.int64())),
+                    ],
+                    ["leaf", "key", "content", "block", "texts"],
+                )
+
+    schema = "leaf bigint, key binary, content string, block bigint, texts array<bigint>"
+    return _by_block(blocks, leaves.select("block", "leaf")).mapInArrow(run, schema)
 
 
-def _branches(leading: int) -> Column:
-    """The leaves of a line: by its first tokens, with one of them open, and by its last tokens."""
-    head = F.split(F.substring_index("content", " ", leading + 1), " ")
-    first = F.xxhash64("size", F.substring_index("content", " ", leading))
-    others = lambda i: F.filter(head, lambda _, place: place != i)
-    open_at = [F.xxhash64("size", F.lit(i), F.concat_ws(" ", others(i))) for i in range(leading)]
-    last = F.xxhash64("size", F.lit(-1), F.substring_index("content", " ", -leading))
-    return F.when(F.col("size") > leading, F.array(first, *open_at, last)).otherwise(F.array(first))
+def leaf_names(lines: dict[bytes, str]) -> dict[bytes, set[str]]:
+    """The names of a leaf's lines at every level; none if too few places hold a shared token."""
+    rows = [content.split(" ") for content in lines.values()]
+    held = [Counter(place) for place in zip(*rows)]
+    size = len(held)
+    if 3 * sum(len(place) < len(rows) for place in held) < 2 * size:
+        return {}
+    names: dict[bytes, set[str]] = {}
+    for key, tokens in zip(lines, rows):
+        counts = [len(rows) if token == VARIABLE else place[token] for token, place in zip(tokens, held)]
+        own = names[key] = set()
+        for level in LEVELS:
+            # Above all counts the variable tokens alone are constant.
+            name = [token if n >= level or token == VARIABLE else VARIABLE for token, n in zip(tokens, counts)]
+            if 3 * sum(n >= level or token == VARIABLE for token, n in zip(tokens, counts)) < 2 * size:
+                break
+            own.add(" ".join(name))
+            if level > len(rows):
+                break
+    return names
+
+
+NAMED = "name binary, key binary, block bigint, text bigint, template string"
+
+
+def _names_in_tasks(members: DataFrame, templates: bool) -> DataFrame:
+    """The names of lines, a leaf after the other; a row for each block of a line and each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for _, rows in groupby(_rows(batches), itemgetter(0)):
+            rows = list(rows)
+            lines = {key: content for _, key, content, _, _ in rows}
+            if len(lines) > 1 and len({text for *_, texts in rows for text in texts}) > 1:
+                names = leaf_names(lines)
+                digests = {key: [(md5(n.encode()).digest(), n if templates else None) for n in own if n != lines[key]] for key, own in names.items()}
+                found += [(name, key, number, text, template) for _, key, _, number, texts in rows for name, template in digests.get(key, ()) for text in texts]
+            if len(found) >= 8192:
+                yield table(found)
+                found = []
+        if found:
+            yield table(found)
+
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found), kinds)], ["name", "key", "block", "text", "template"])
+
+    return members.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, NAMED)
 
 
 def _names(items: Column) -> Column:
@@ -56,15 +280,84 @@ def _names(items: Column) -> Column:
     return F.array_distinct(F.transform(levels, lambda level: F.array_join(name(level), " ")))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, least_tokens: int) -> DataFrame:
-    return (
-        _documents(docs, id_col, text_col)
-        .select("id", "digest", F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line", "content"))
-        .withColumn("content", F.trim("content"))
-        .withColumn("size", F.octet_length("content") - F.octet_length(F.replace("content", F.lit(" "), F.lit(""))) + 1)
-        .filter((F.col("content") != "") & (F.col("size") >= least_tokens))
-        .withColumn("key", F.unhex(F.md5("content")))
-    )
+def _names_across_tasks(members: DataFrame, templates: bool) -> DataFrame:
+    """The same for leaves of any size: their tokens are counted on the map side, and counts joined to the lines."""
+    members = land(members, "members")
+    kinds = members.groupBy("leaf", "key").agg(F.min("content").alias("content"), F.min(F.array_min("texts")).alias("low"), F.max(F.array_max("texts")).alias("high"))
+    kinds = land(kinds, "kinds")
+    texts = kinds.groupBy("leaf").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low <> high").select("leaf")
+    tokens = kinds.select("leaf", "key", F.posexplode(F.split("content", " ")).alias("place", "token")).withColumn("hash", F.xxhash64("token"))
+    size = F.octet_length("content") - F.octet_length(F.replace("content", F.lit(" "), F.lit(""))) + 1
+    sizes = kinds.groupBy("leaf").agg(F.min(size).alias("size"))
+    counted = land(tokens.groupBy("leaf", "place", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "counted")
+    rich = counted.groupBy("leaf").agg(F.count_distinct("place").alias("places")).join(sizes, "leaf").join(texts, "leaf")
+    rich = land(rich.filter("3 * places >= 2 * size").select("leaf"), "rich")
+    items = tokens.join(rich.hint("merge"), "leaf").join(counted.hint("merge"), ["leaf", "place", "hash"], "left").groupBy("leaf", "key")
+    items = items.agg(F.array_sort(F.collect_list(F.struct("place", "token", F.coalesce("n", F.lit(1)).alias("n")))).alias("items"))
+    named = items.select("leaf", "key", F.explode(_names(F.col("items"))).alias("template"))
+    named = named.join(members.select("leaf", "key", "block", F.explode("texts").alias("text")).hint("merge"), ["leaf", "key"])
+    template = F.col("template") if templates else F.lit(None).cast("string")
+    return named.select(F.unhex(F.md5("template")).alias("name"), "key", "block", "text", template.alias("template"))
+
+
+def _own_names(blocks: DataFrame, least_documents: int) -> DataFrame:
+    """Every masked line is a name of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, file in _rows(batches):
+            own = _Lines(file)
+            kind, text = own.texts(least_documents)
+            if len(kind):
+                keys, none = _bytes(own.key[kind]), pa.nulls(len(kind), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [keys, keys, pa.array(np.full(len(kind), number)), pa.array(text), none], ["name", "key", "block", "text", "template"]
+                )
+
+    return _block_tasks(blocks).mapInArrow(run, NAMED)
+
+
+def _recurring_lines(blocks: DataFrame, least_documents: int, templates: bool) -> DataFrame:
+    """(block, key, template) of the lines with a name in enough texts; the template is null where it is the line.
+
+    Two texts are told by their smallest and largest digest, which combine on the map side. A block sends no more texts
+    of a line than are asked for.
+    """
+    leaves = _open_leaves(blocks)
+    named = land(_names_in_tasks(_members(blocks, leaves.filter("NOT hot"), least_documents), templates), "named")
+    if not leaves.filter("hot").isEmpty():
+        hot = _names_across_tasks(_members(blocks, leaves.filter("hot"), least_documents), templates)
+        named = named.unionByName(land(hot, "named"))
+    named = named.unionByName(_own_names(blocks, least_documents))
+    if least_documents > 2:
+        enough = named.select("name", "text").distinct().groupBy("name").count().filter(F.col("count") >= least_documents)
+    else:
+        enough = named.groupBy("name").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+        enough = enough.filter("low <> high" if least_documents == 2 else "true")
+    # The number of names grows with the corpus: merged at every size, so that small input shows the plan of large.
+    return named.select("name", "key", "block", "template").join(enough.select("name").hint("merge"), "name").drop("name")
+
+
+def _dropped(file: str, rows: Iterator[tuple]) -> tuple[pa.Table, dict[int, list[int]], dict[tuple[int, int], str | None]]:
+    """A block's texts, its lines to drop by document, and their templates."""
+    found: dict[bytes, set] = {}
+    for _, _, key, template in rows:
+        found.setdefault(key, set()).add(template)
+    own = _Lines(file)
+    named = [found.get(key) for key in _bytes(own.key).to_pylist()]
+    gone = np.flatnonzero(np.array([own_names is not None for own_names in named], bool)[own.kind])
+    lines: dict[int, list[int]] = {}
+    names: dict[tuple[int, int], set] = {}
+    for doc, line, kind in zip(own.doc[gone].tolist(), own.line[gone].tolist(), own.kind[gone].tolist()):
+        lines.setdefault(doc, []).append(line)
+        names[doc, line] = named[kind]
+    return load_table(f"{file}.texts"), lines, names
+
+
+def _with_blocks(docs: DataFrame, id_col: str, text_col: str, least_documents: int, leading: int, least_tokens: int, templates: bool):
+    folder = scratch_path(docs.sparkSession, "line-blocks")
+    blocks = _write_blocks(docs, folder, id_col, text_col, leading, least_tokens)
+    gone = land(_recurring_lines(blocks, least_documents, templates), "gone")
+    return _by_block(blocks, gone.select("block", "key", "template"))
 
 
 def template_lines(
@@ -72,47 +365,24 @@ def template_lines(
 ) -> DataFrame:
     """(id, digest, line, template) of the lines with a recurring template; ``line`` is the place in the document.
 
-    Equal texts count once. Two texts are told by their smallest and largest digest, which combine on the map side. What
-    can't recur is left out exactly: leaves of one text, then leaves with shared tokens in too few places.
+    Equal texts count once. Leaves of one text, and leaves with shared tokens in less than two thirds of their places,
+    give no names. Different texts of a name are told by 64 bits of their digests.
     """
-    lines = _lines(docs, id_col, text_col, least_tokens)
-    kinds = lines.groupBy("key").agg(
-        F.min("content").alias("content"), F.min("size").alias("size"), F.min("digest").alias("low"), F.max("digest").alias("high")
-    )
-    kinds = land(kinds, "kinds")
-    routed = kinds.select("key", "low", "high", F.explode(_branches(leading)).alias("leaf"))
-    shared = routed.groupBy("leaf").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n"))
-    shared = land(shared.filter("n > 1 AND low <> high").select("leaf"), "leaves")
-    # The number of leaves grows with the corpus: merged at every size, so that small input shows the plan of large.
-    open_kinds = routed.select("leaf", "key").join(shared.hint("merge"), "leaf")
-    open_kinds = open_kinds.groupBy("key").agg(F.collect_set("leaf").alias("leaves"))
-    found = kinds.select("key", "content").join(open_kinds.hint("merge"), "key")
-    found = land(found.withColumn("tokens", F.split("content", " ")).drop("content"), "found")
-
-    in_leaf = found.select("key", "tokens", F.explode("leaves").alias("leaf"))
-    places = in_leaf.select("leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
-    counted = places.groupBy("leaf", "size", "place", F.xxhash64("token").alias("token")).agg(F.count(F.lit(1)).alias("n"))
-    counted = land(counted.filter("n > 1"), "counted")
-    rich = counted.groupBy("leaf").agg(F.count_distinct("place").alias("places"), F.max("size").alias("size"))
-    rich = land(rich.filter("3 * places >= 2 * size").select("leaf"), "rich")
-    counted = counted.join(rich.hint("merge"), "leaf").select("leaf", "place", F.col("token").alias("hash"), "n")
-    tokens = found.select("key", "tokens", F.explode("leaves").alias("leaf")).join(rich.hint("merge"), "leaf")
-    tokens = tokens.select("leaf", "key", F.posexplode("tokens").alias("place", "token")).withColumn("hash", F.xxhash64("token"))
-    items = tokens.join(counted.hint("merge"), ["leaf", "place", "hash"], "left").groupBy("leaf", "key")
-    items = items.agg(F.array_sort(F.collect_list(F.struct("place", "token", F.coalesce("n", F.lit(1)).alias("n")))).alias("items"))
-    named = land(items.select("key", F.explode(_names(F.col("items"))).alias("template")).distinct(), "named")
-    exact = kinds.filter("low <> high").select("key", F.col("content").alias("template"), "low", "high")
-    named = named.join(kinds.select("key", "low", "high").hint("merge"), "key").unionByName(exact)
-    named = named.withColumn("name", F.unhex(F.md5("template")))
-    recurring = named.groupBy("name").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    recurring = recurring.filter("low <> high").select("name")
-    if least_documents > 2:
-        texts = lines.select("key", "digest").join(named.select("key", "name"), "key").select("name", "digest").distinct()
-        enough = texts.groupBy("name").count().filter(F.col("count") >= least_documents).select("name")
-        recurring = recurring.join(enough, "name")
-    templates = named.join(recurring.hint("merge"), "name").groupBy("key").agg(F.min("template").alias("template"))
-    templates = land(templates, "templates")
-    return lines.select("id", "digest", "line", "key").join(templates.hint("merge"), "key").drop("key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_rows(batches), itemgetter(0)):
+            texts, lines, names = _dropped(next(rows)[1], rows)
+            places = [(doc, line) for doc, own in lines.items() for line in own]
+            at = pa.array([doc for doc, _ in places], pa.int64())
+            split = {doc: texts.column("text")[doc].as_py().split("\n") for doc in lines}
+            chosen = [min(masked(split[p[0]][p[1]]) if name is None else name for name in names[p]) for p in places]
+            columns = [texts.column(c).combine_chunks().take(at) for c in ("id", "digest")]
+            columns += [pa.array([line for _, line in places], pa.int32()), pa.array(chosen, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "line", "template"])
+
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("digest", T.BinaryType())])
+    schema = schema.add("line", "integer").add("template", "string")
+    return _with_blocks(docs, id_col, text_col, least_documents, leading, least_tokens, True).mapInArrow(run, schema)
 
 
 def drop_recurring_lines(
@@ -127,19 +397,22 @@ def drop_recurring_lines(
 
     A null or empty text has one empty line and loses nothing. Rows that repeat an id are rows of their own; rows with
     id and text equal are alike. Other columns are not read. An empty table gives no rows. A line that a third of all
-    documents share is one row per task until its documents are counted, and one row per occurrence after.
+    documents share is one row per block in each of its leaves, and a leaf of very many lines is counted by all tasks.
     """
-    lines = template_lines(docs, id_col, text_col, least_documents, leading, least_tokens)
-    dropped = lines.groupBy("id", "digest").agg(F.collect_set("line").alias("dropped"))
-    dropped = land(dropped.select(F.col("id").alias("drop_id"), F.col("digest").alias("drop_digest"), "dropped"), "dropped")
-    rows = _documents(docs, id_col, text_col)
-    same = F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("digest") == F.col("drop_digest"))
-    joined = rows.join(dropped, same, "left")
-    split = F.split("text", "\n")
-    clean = F.array_join(F.filter(split, lambda line, i: ~F.array_contains("dropped", i)), "\n")
-    return joined.select(
-        F.col("id").alias(id_col),
-        F.size(split).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("dropped"), F.lit(0)).cast("bigint").alias("n_dropped"),
-        F.when(F.col("dropped").isNull(), F.col("text")).otherwise(clean).alias("clean_text"),
-    )
+    names = [id_col, "n_lines", "n_dropped", "clean_text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_rows(batches), itemgetter(0)):
+            table, gone, _ = _dropped(next(rows)[1], rows)
+            texts = table.column("text").to_pylist()
+            counts = [text.count("\n") + 1 for text in texts]
+            for doc, lines in gone.items():
+                own = set(lines)
+                texts[doc] = "\n".join([line for i, line in enumerate(texts[doc].split("\n")) if i not in own])
+            dropped = [len(gone.get(doc, ())) for doc in range(len(texts))]
+            columns = [table.column("id").combine_chunks(), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)])
+    schema = schema.add(names[1], "long").add(names[2], "long").add(names[3], "string")
+    return _with_blocks(docs, id_col, text_col, least_documents, leading, least_tokens, False).mapInArrow(run, schema)
