@@ -9,15 +9,15 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 import zstandard
 from pyspark import TaskContext
@@ -37,12 +37,13 @@ MAGIC = b"WVMATRX1"
 CACHED_WORDS = 1 << 20
 CACHED_CHARS = 64  # longer words are not kept
 JOINED_WORDS = 4096  # words encoded in one call
+CALL_BYTES = 8 << 20  # texts that are cut and looked up together
 
 # The tokenizer cuts at white space, and between a letter and an ASCII symbol. Only Latin letters are cut off: normalising
 # or lower case turns some others, and the dotted capital I, into a letter and a mark.
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
-_PARTS = re.compile(_LETTERS + r"(?=[ -/:-@\[-`{-~\n]|\Z)|[^ \n]+")
-_one_unit = re.compile(_LETTERS).fullmatch
+_BEFORE_SYMBOL = rf"^({_LETTERS})([!-/:-@\[-`{{-~])"
+_ONE_UNIT = rf"^{_LETTERS}$"
 
 
 class WaveletMatrix:
@@ -57,11 +58,12 @@ class WaveletMatrix:
         for bit in reversed(range(bits)):
             ones = (ids & ids.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            steps = np.bitwise_count(np.pad(planes[-1], (0, -len(planes[-1]) % (STEP // 8)))).reshape(-1, STEP // 8)
+            steps = np.bitwise_count(np.pad(planes[-1], (0, -len(planes[-1]) % (STEP // 8))).view(np.uint64)).reshape(-1, STEP // 64)
             counts.append(np.concatenate([[0], np.cumsum(steps.sum(axis=1, dtype=np.int64))]))
-            left = ids[~ones]
+            # Taking by place is faster than by a mask of mixed bits.
+            left = ids.take(np.flatnonzero(~ones))
             zeros.append(len(left))
-            ids = np.concatenate([left, ids[ones]])
+            ids = np.concatenate([left, ids.take(np.flatnonzero(ones))])
         return cls(len(ids), planes, zeros, counts)
 
     def ids(self, kind=np.int64) -> np.ndarray:
@@ -166,8 +168,21 @@ def load_tokenizer(path: str) -> tokenizers.Tokenizer:
     return tokenizers.Tokenizer.from_file(path)
 
 
+def _spans(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The spans of an array one after the other."""
+    ends = np.cumsum(sizes)
+    shifts = np.repeat(starts - ends + sizes, sizes)
+    shifts += np.arange(len(shifts))
+    return data[shifts]
+
+
+def _strings(names: pa.Array) -> list[str]:
+    return names.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
-    """Encodes texts word by word, words part by part; both are kept, up to ``CACHED_WORDS`` of them.
+    """Encodes texts word by word, words part by part. Different words are cut and looked up once per call; parts are
+    kept, up to ``CACHED_WORDS`` of them, as spans of one array of ids.
 
     Special tokens inside a text contain no space and begin with a symbol: a part begins there if a letter comes before
     them, and they stay within a part otherwise.
@@ -177,46 +192,90 @@ class WordEncoder:
         self.tokenizer = load_tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
-        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.long: list[str] = []
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        words = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = set().union(*words).difference(self.known)
-        self._learn(fresh)
-        result = [np.frombuffer(b"".join(map(self.known.__getitem__, own)), self.kind) for own in words]
-        for word in self.long:
-            del self.known[word]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        return result
-
-    def _learn(self, words: set[str]) -> None:
-        # A word of ASCII letters is one part.
-        parts = {word: _PARTS.findall(word) for word in words if not (word.isascii() and word.isalpha())}
-        missing = words.difference(parts).union(*parts.values()).difference(self.known)
-        learnt: dict[str, bytes] = {}
-        # Latin letters are one unit of the tokenizer in any surroundings; upper case makes no difference.
-        plain = sorted({part.lower() for part in missing if _one_unit(part)})
-        groups = [plain[start : start + JOINED_WORDS] for start in range(0, len(plain), JOINED_WORDS)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(group) for group in groups], add_special_tokens=False)
-        for group, found in zip(groups, joined):
-            ids = np.array(found.ids, self.kind)
-            ends = np.flatnonzero(self.word_end[ids]) + 1
-            if len(ends) == len(group):
-                data, cuts = ids.tobytes(), (ends * self.kind.itemsize).tolist()
-                learnt.update(zip(group, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
-        rest = [part for part in missing if not _one_unit(part) or part.lower() not in learnt]
-        for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            learnt[part] = array(self.code, found.ids).tobytes()
-        learnt.update([(part, learnt[part.lower()]) for part in missing.difference(learnt)])
-        known = self.known
-        known.update(learnt)
-        known.update([(word, b"".join([known[part] for part in own])) for word, own in parts.items()])
-        self.long = [word for word in {*learnt, *parts} if len(word) > CACHED_CHARS]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Part 0 is empty; ``ends`` has one number more than there are parts."""
+        self.known: dict[str, int] = {"": 0}
+        self.ids, self.ends = np.zeros(0, self.kind), np.zeros(2, np.int64)
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = pc.dictionary_encode(words.flatten())
+        # Letters before a symbol are a part, the symbol and what follows another.
+        pieces = pc.split_pattern(pc.replace_substring_regex(coded.dictionary, _BEFORE_SYMBOL, r"\1 \2"), " ")
+        parts = pc.dictionary_encode(pieces.flatten())
+        numbers = self._numbers(parts.dictionary)[parts.indices.to_numpy()]
+        # Ids of the different words, then of all words in their order.
+        starts, ends = self.ends[numbers], self.ends[numbers + 1]
+        of_words = _spans(self.ids, starts, ends - starts)
+        firsts = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        sizes = np.add.reduceat(ends - starts, firsts[:-1])
+        word = coded.indices.to_numpy()
+        result = _spans(of_words, (np.cumsum(sizes) - sizes)[word], sizes[word])
+        reached = np.concatenate([[0], np.cumsum(sizes[word])])
+        cuts = reached[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        if len(self.known) > CACHED_WORDS or len(self.ids) > 16 * CACHED_WORDS:
+            self._forget()
+        return [result[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _numbers(self, parts: pa.Array) -> np.ndarray:
+        """Where the parts are kept; new ones are encoded."""
+        names = _strings(parts)
+        numbers = self._find(names)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            fresh = parts.take(pa.array(missing))
+            # Latin letters are one unit of the tokenizer in any surroundings; upper case makes no difference.
+            plain = pc.match_substring_regex(fresh, _ONE_UNIT).to_numpy(zero_copy_only=False)
+            units = pc.dictionary_encode(pc.utf8_lower(fresh.filter(pa.array(plain))))
+            lower, rest = _strings(units.dictionary), _strings(fresh.filter(pa.array(~plain)))
+            of_units = self._find(lower)
+            unknown = np.flatnonzero(of_units < 0)
+            of_units[unknown] = self._keep([lower[i] for i in unknown.tolist()], self._joined)
+            found = np.empty(len(missing), np.int64)
+            found[plain] = of_units[units.indices.to_numpy()]
+            found[~plain] = self._keep(rest, self._alone)
+            numbers[missing] = found
+            fresh = [names[i] for i in missing.tolist()]
+            self.known.update(zip(fresh, found.tolist()))
+            for name in [name for name in fresh if len(name) > CACHED_CHARS]:
+                for kept in {name, *_strings(pc.utf8_lower(pa.array([name])))}:
+                    self.known.pop(kept, None)
+        return numbers
+
+    def _find(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+
+    def _keep(self, names: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Numbers of new names."""
+        first, ids, ends = len(self.ends) - 1, [self.ids], [self.ends]
+        reached = len(self.ids)
+        for start in range(0, len(names), JOINED_WORDS):
+            found, cuts = encode(names[start : start + JOINED_WORDS])
+            ids.append(found)
+            ends.append(reached + cuts)
+            reached += len(found)
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        self.known.update(zip(names, range(first, first + len(names))))
+        return np.arange(first, first + len(names))
+
+    def _joined(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of names that are units, and where each ends."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(names)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        return (ids, ends) if len(ends) == len(names) else self._alone(names)
+
+    def _alone(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any names."""
+        found = [encoded.ids for encoded in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), self.kind)
+        return ids, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
 
 
 @lru_cache(maxsize=1)
@@ -264,14 +323,20 @@ def write_shards(
 
         for batch in batches:
             texts, own = batch.column("text"), batch.column("id").to_pylist()
-            for start in range(0, len(own), 256):
-                for doc_id, found in zip(own[start : start + 256], encode(texts[start : start + 256].to_pylist())):
+            reached = np.cumsum(pc.binary_length(texts).to_numpy())
+            start = 0
+            while start < len(own):
+                # Up to CALL_BYTES of texts, one at least.
+                before = int(reached[start - 1]) if start else 0
+                end = max(start + 1, int(np.searchsorted(reached, before + CALL_BYTES, "right")))
+                for doc_id, found in zip(own[start:end], encode(texts.slice(start, end - start))):
                     ids.append(doc_id)
                     sequences.append(np.append(found, end_id).astype(kind))
                     size += len(sequences[-1])
                     if size >= shard_tokens:
                         yield shard()
                         ids, sequences, size, turn = [], [], 0, turn + 1
+                start = end
         if ids:
             yield shard()
 
