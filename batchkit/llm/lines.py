@@ -7,7 +7,9 @@ a name per level, its tokens constant at that level with the others variable, if
 that recur across documents are templates, and so is every masked line that does; their lines are dropped.
 
 Texts are written once, in blocks, with the digests and leaves of their lines. A block sends each of its leaves once and
-hears which of them hold other lines too; only lines of those are sent, to their leaves. It drops the lines whose names recur.
+hears which of them hold other lines too; only lines of those are sent, to their leaves. Lines that differ in the middle
+meet in all their leaves: leaves of the same lines give the same names, so only one of them is sent. A block drops the
+lines whose names recur.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b, md5
-from itertools import groupby
+from hashlib import md5
+from itertools import groupby, pairwise
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,55 +53,101 @@ def masked(line: str) -> str:
     return _NUMBERED.sub(VARIABLE, line) if _find_digit(line) else line
 
 
-def _branches(content: str, size: int, leading: int) -> bytes:
-    """The leaves of a line, 8 bytes each: by its first tokens, with one of them open, and by its last tokens."""
-    head, last = content.split(" ", leading + 1)[: leading + 1], content.rsplit(" ", leading)[1:]
-    ways = [head[:leading], *[head[:i] + head[i + 1 :] for i in range(leading)], last]
-    return b"".join([blake2b(f"{size} {way} {' '.join(own)}".encode(), digest_size=8).digest() for way, own in enumerate(ways)])
+def _masked(lines: pa.Array) -> pa.Array:
+    """The same for many lines; most are not changed."""
+    touched = pc.match_substring_regex(lines, r"[0-9\t\r\x0b\f]|  |^ | $")
+    changed = [masked(line) for line in lines.filter(touched).to_pylist()]
+    return pc.replace_with_mask(lines, touched, pa.array(changed, lines.type))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*[column.to_pylist() for column in batch.columns])
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """The last steps of SplitMix64: every bit depends on every bit."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def _hashes(tokens: pa.Array) -> np.ndarray:
+    """64 bits of each token, from its bytes and their places. No token is empty."""
+    known = tokens.dictionary_encode()
+    _, ends, whole = known.dictionary.buffers()
+    ends = np.frombuffer(ends, np.int32)[: len(known.dictionary) + 1]
+    places = np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))
+    signs = (places.astype(np.uint64) << np.uint64(8)) + np.frombuffer(whole, np.uint8)[: ends[-1]]
+    return np.bitwise_xor.reduceat(_mixed(signs + np.uint64(1)), ends[:-1])[known.indices.to_numpy()]
+
 
+def _branches(contents: pa.Array, sizes: np.ndarray, leading: int) -> np.ndarray:
+    """The leaves of lines, a row per line: by its first tokens, with one of them open, and by its last tokens."""
+    leaves = np.empty((len(contents), leading + 2), np.uint64)
+    if not len(contents):
+        return leaves.view(np.int64)
 
-def _number(digests: np.ndarray) -> np.ndarray:
-    """The first 8 bytes of digests of 16."""
-    return digests.view("<i8")[::2]
+    def hashes(split: pa.ListArray, first: int, count: int) -> np.ndarray:
+        places = split.offsets.to_numpy()[:-1, None] + np.arange(first, first + count)
+        return _hashes(split.values.take(pa.array(places.ravel()))).reshape(places.shape)
 
+    head = hashes(pc.split_pattern(contents, " ", max_splits=leading + 1), 0, leading + 1)
+    last = hashes(pc.split_pattern(contents, " ", max_splits=leading, reverse=True), 1, leading) if leading else head[:, :0]
+    ways = [head[:, :leading], *[np.delete(head[:, : leading + 1], i, axis=1) for i in range(leading)], last]
+    for way, own in enumerate(ways):
+        leaf = _mixed(sizes.astype(np.uint64) * np.uint64(leading + 2) + np.uint64(way + 1))
+        for place in range(leading):
+            leaf = _mixed(leaf ^ own[:, place])
+        leaves[:, way] = leaf
+    return leaves.view(np.int64)
 
-def _bytes(digests: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(pa.binary(16), len(digests), [None, pa.py_buffer(digests.tobytes())]).cast(pa.binary())
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*[column.to_pylist() for column in batch.columns])
 
 
 def _write_blocks(docs: DataFrame, folder: str, id_col: str, text_col: str, leading: int, least_tokens: int) -> DataFrame:
-    """One row per block: its number and file. ``<file>.texts`` holds ids and texts, ``<file>.lines`` the lines' digests.
+    """One row per block: its number and file.
 
-    A line of ``leading`` tokens or fewer is alone in its leaf and has none.
+    ``<file>.texts`` holds ids and texts, ``<file>.kinds`` the different lines, by digest, with the place of one of each,
+    ``<file>.lines`` the kind of every line. A line of ``leading`` tokens or fewer is alone in its leaf and has none.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
 
+    def digests(values: pa.Array) -> list[bytes]:
+        if not len(values):
+            return []
+        whole, ends = memoryview(values.buffers()[2] or b""), np.frombuffer(values.buffers()[1], np.int32).tolist()
+        return [md5(whole[start:end]).digest() for start, end in pairwise(ends[values.offset : values.offset + len(values) + 1])]
+
     def block(own: pa.Table) -> str:
-        places, keys, leaves, digests = [], [], [], []
-        for at, whole in enumerate(own.column("text").to_pylist()):
-            digests.append(md5(whole.encode()).digest())
-            for line, content in enumerate(map(masked, whole.split("\n"))):
-                size = content.count(" ") + 1
-                if content and size >= least_tokens:
-                    places.append((at, line, size))
-                    keys.append(md5(content.encode()).digest())
-                    if size > leading:
-                        leaves.append(_branches(content, size, leading))
-        placed = np.array(places, np.int32).reshape(-1, 3)
-        ends = np.cumsum(np.concatenate([[0], (placed[:, 2] > leading) * (leading + 2)])).astype(np.int32)
-        kinds = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(leaves), "<i8")))
-        texts = _number(np.frombuffer(b"".join(digests), "S16"))[placed[:, 0]]
-        columns = {"doc": placed[:, 0], "line": placed[:, 1], "size": placed[:, 2], "text": texts}
-        columns = {name: pa.array(np.ascontiguousarray(values)) for name, values in columns.items()}
+        own = own.combine_chunks()
+        texts = own.column("text").cast(pa.string()).combine_chunks()
+        texts_digests = digests(texts)
+        split = pc.split_pattern(texts, "\n")
+        starts = split.offsets.to_numpy()
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(starts))
+        line = np.arange(len(doc), dtype=np.int32) - starts[doc]
+        # Equal lines are masked and hashed once; different ones may be equal when masked.
+        lines = split.values.dictionary_encode()
+        contents = _masked(lines.dictionary).dictionary_encode()
+        kind = contents.indices.to_numpy()[lines.indices.to_numpy()]
+        contents = contents.dictionary
+        size = pc.count_substring(contents, " ").to_numpy() + 1
+        wanted = (size >= least_tokens) & (pc.binary_length(contents).to_numpy() > 0)
+        number = np.cumsum(wanted, dtype=np.int32) - 1
+        contents, size = contents.filter(pa.array(wanted)), size[wanted]
+        own_lines = np.flatnonzero(wanted[kind])
+        doc, line, kind = doc[own_lines], line[own_lines], number[kind[own_lines]]
+        one = np.unique(kind, return_index=True)[1]
+        deep = size > leading
+        leaves = _branches(contents.filter(pa.array(deep)), size[deep], leading).ravel()
+        ends = np.concatenate([[0], np.cumsum(deep * (leading + 2))]).astype(np.int32)
+        keys = pa.array(digests(contents), pa.binary(16))
+        kinds = {"key": keys, "size": size, "doc": doc[one], "line": line[one], "leaves": pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves))}
+        text = np.frombuffer(b"".join(texts_digests), "<i8")[::2][doc]
         file = new_name(folder, "")
-        save_table(f"{file}.texts", own.append_column("digest", pa.array(digests, pa.binary())).combine_chunks())
-        save_table(f"{file}.lines", pa.table({**columns, "key": pa.array(keys, pa.binary(16)), "leaves": kinds}))
+        save_table(f"{file}.texts", own.append_column("digest", pa.array(texts_digests, pa.binary())))
+        save_table(f"{file}.kinds", pa.table(kinds))
+        save_table(f"{file}.lines", pa.table({"doc": doc, "line": line, "kind": kind, "text": text}))
         return file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,18 +173,21 @@ def _write_blocks(docs: DataFrame, folder: str, id_col: str, text_col: str, lead
 
 
 class _Lines:
-    """The lines of a block and its kinds: the different ones among them, in order of their digests."""
+    """The lines of a block and its kinds: the different ones among them."""
 
     def __init__(self, file: str):
-        table = load_table(f"{file}.lines").combine_chunks()
-        read = lambda name: table.column(name).to_numpy()
-        self.doc, self.line, self.size, self.text = read("doc"), read("line"), read("size"), read("text")
-        keys = np.frombuffer(b"".join(table.column("key").to_pylist()), "S16")
-        self.key, self.at, self.kind = np.unique(keys, return_index=True, return_inverse=True)
-        self.leaves = table.column("leaves").combine_chunks().take(pa.array(self.at))
+        read = lambda table: [column.to_numpy() for column in table.columns]
+        self.doc, self.line, self.kind, self.text = read(load_table(f"{file}.lines"))
+        kinds = load_table(f"{file}.kinds").combine_chunks()
+        keys = kinds.column("key").combine_chunks()
+        self.keys = keys.cast(pa.binary())
+        # Of each kind the first 8 bytes of its digest, its tokens and the place of one of its lines.
+        self.number = np.frombuffer(keys.buffers()[1], "<i8")[: 2 * len(keys) : 2]
+        self.size, self.at_doc, self.at_line = read(kinds.select(["size", "doc", "line"]))
         # The kind of each leaf of a kind.
-        self.owner = np.repeat(np.arange(len(self.at)), np.diff(self.leaves.offsets.to_numpy()))
-        self.leaf = self.leaves.flatten().to_numpy()
+        leaves = kinds.column("leaves").combine_chunks()
+        self.owner = np.repeat(np.arange(len(leaves)), np.diff(leaves.offsets.to_numpy()))
+        self.leaf = leaves.flatten().to_numpy()
 
     def texts(self, most: int) -> tuple[np.ndarray, np.ndarray]:
         """(kind, text) of the different texts of each kind, ``most`` of a kind at most; in order of kinds."""
@@ -153,7 +205,10 @@ def _block_tasks(blocks: DataFrame) -> DataFrame:
 
 
 def _open_leaves(blocks: DataFrame) -> DataFrame:
-    """(block, leaf, hot) of the leaves that hold different lines. A leaf is one row per block that knows it."""
+    """(block, leaf, same, hot) of the leaves that hold different lines. A leaf is one row per block that knows it.
+
+    Leaves with the same lines have the same ``same``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, file in _rows(batches):
@@ -162,18 +217,24 @@ def _open_leaves(blocks: DataFrame) -> DataFrame:
                 order = np.argsort(own.leaf, kind="stable")
                 leaf, kind = own.leaf[order], own.owner[order]
                 starts = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
-                key = _number(own.key)[kind]
-                tokens = np.add.reduceat(own.size[own.at[kind]].astype(np.int64), starts)
+                key = own.number[kind]
+                tokens = np.add.reduceat(own.size[kind].astype(np.int64), starts)
                 low, high = np.minimum.reduceat(key, starts), np.maximum.reduceat(key, starts)
-                columns = [np.full(len(starts), number), leaf[starts], low, high, tokens]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "leaf", "low", "high", "tokens"])
-
-    known = _block_tasks(blocks).mapInArrow(run, "block bigint, leaf bigint, low bigint, high bigint, tokens bigint")
-    same = Window.partitionBy("leaf")
-    known = known.select(
-        "block", "leaf", (F.min("low").over(same) != F.max("high").over(same)).alias("open"), F.sum("tokens").over(same).alias("tokens")
+                # With the block, as a line is in a leaf once per block. That of a single line is left out and follows from it.
+                marks = _mixed(key.view(np.uint64) ^ _mixed(np.array([number], np.uint64)))
+                mark = pa.array(np.bitwise_xor.reduceat(marks, starts).view(np.int64), mask=low == high)
+                columns = [*map(pa.array, [np.full(len(starts), number), leaf[starts], low, high, tokens]), mark]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "leaf", "low", "high", "tokens", "mark"])
+
+    known = _block_tasks(blocks).mapInArrow(run, "block bigint, leaf bigint, low bigint, high bigint, tokens bigint, mark bigint")
+    known = known.repartition("leaf").withColumn("mark", F.coalesce("mark", F.xxhash64("low", "block")))
+    of_leaf = Window.partitionBy("leaf")
+    whole = [F.min("low"), F.max("high"), F.sum("tokens"), F.bit_xor("mark")]
+    known = known.select("block", "leaf", *[value.over(of_leaf).alias(name) for value, name in zip(whole, ["low", "high", "tokens", "mark"])])
+    known = known.filter("low <> high").select(
+        "block", "leaf", F.xxhash64("low", "high", "tokens", "mark").alias("same"), (F.col("tokens") > LEAF_TOKENS).alias("hot")
     )
-    return land(known.filter("open").select("block", "leaf", (F.col("tokens") > LEAF_TOKENS).alias("hot")), "leaves")
+    return land(known, "leaves")
 
 
 def _by_block(blocks: DataFrame, others: DataFrame) -> DataFrame:
@@ -182,60 +243,89 @@ def _by_block(blocks: DataFrame, others: DataFrame) -> DataFrame:
     return rows.repartition(max(1, blocks.count()), "block").sortWithinPartitions("block", F.col("file").asc_nulls_last())
 
 
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, pa.Table]]:
+    """(number, file, other rows) of each block."""
+    held: list[pa.RecordBatch] = []
+
+    def whole() -> tuple[int, str, pa.Table]:
+        table = pa.Table.from_batches(held)
+        return table.column("block")[0].as_py(), table.column("file")[0].as_py(), table.slice(1)
+
+    for batch in batches:
+        firsts = pc.indices_nonzero(batch.column("file").is_valid()).to_pylist()
+        for start, end in pairwise(sorted({0, *firsts, batch.num_rows})):
+            if held and batch.column("file")[start].is_valid:
+                yield whole()
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield whole()
+
+
 def _members(blocks: DataFrame, leaves: DataFrame, least_documents: int) -> DataFrame:
-    """(leaf, key, content, block, texts) of the lines in the leaves, once per block."""
+    """(leaf, key, content, block, texts) of the lines in the leaves, once per block.
+
+    Of leaves with the same lines one is taken. A block that knows a line knows all its leaves, so all blocks take the same.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in groupby(_rows(batches), itemgetter(0)):
-            file = next(rows)[1]
-            wanted = np.array([leaf for _, _, leaf in rows], np.int64)
-            if not len(wanted):
+        for number, file, rows in _each_block(batches):
+            if not len(rows):
                 continue
+            leaf, same = rows.column("leaf").to_numpy(), rows.column("same").to_numpy()
+            order = np.lexsort((leaf, same))
+            wanted = leaf[order[np.unique(same[order], return_index=True)[1]]]
             own = _Lines(file)
             found = np.flatnonzero(np.isin(own.leaf, wanted))
-            owner = own.owner[found]
-            kinds = np.unique(owner)
-            whole, lines, contents = load_table(f"{file}.texts").column("text"), (None, []), {}
-            for kind, doc, line in sorted(zip(kinds.tolist(), own.doc[own.at[kinds]].tolist(), own.line[own.at[kinds]].tolist()), key=itemgetter(1)):
+            leaf, owner = own.leaf[found], own.owner[found]
+            kinds, place = np.unique(owner, return_inverse=True)
+            whole, lines, contents = load_table(f"{file}.texts").column("text"), (None, []), []
+            # Kinds are in order of the places of their first lines.
+            for doc, line in zip(own.at_doc[kinds].tolist(), own.at_line[kinds].tolist()):
                 if lines[0] != doc:
                     lines = doc, whole[doc].as_py().split("\n")
-                contents[kind] = masked(lines[1][line])
+                contents.append(masked(lines[1][line]))
+            contents = pa.array(contents, pa.string())
             kind, text = own.texts(least_documents)
-            starts, ends = np.searchsorted(kind, owner, "left").tolist(), np.searchsorted(kind, owner, "right").tolist()
-            texts = [text[a:b].tolist() for a, b in zip(starts, ends)]
+            ends = np.searchsorted(kind, np.arange(len(own.keys) + 1)).astype(np.int32)
+            texts = pa.ListArray.from_arrays(pa.array(ends), pa.array(text))
             # In parts, as a line goes to each of its leaves.
             for start in range(0, len(found), 4096):
                 part = slice(start, start + 4096)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(own.leaf[found[part]]), _bytes(own.key[owner[part]]),
-                        pa.array([contents[k] for k in owner[part].tolist()], pa.string()),
-                        pa.array(np.full(len(found[part]), number)), pa.array(texts[part], pa.list_(pa.int64())),
-                    ],
-                    ["leaf", "key", "content", "block", "texts"],
-                )
+                at, size = pa.array(owner[part]), len(owner[part])
+                columns = [
+                    pa.array(leaf[part]), own.keys.take(at), contents.take(pa.array(place[part])), pa.array(np.full(size, number)), texts.take(at)
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["leaf", "key", "content", "block", "texts"])
 
     schema = "leaf bigint, key binary, content string, block bigint, texts array<bigint>"
-    return _by_block(blocks, leaves.select("block", "leaf")).mapInArrow(run, schema)
+    return _by_block(blocks, leaves.select("block", "leaf", "same")).mapInArrow(run, schema)
 
 
 def leaf_names(lines: dict[bytes, str]) -> dict[bytes, set[str]]:
     """The names of a leaf's lines at every level; none if too few places hold a shared token."""
     rows = [content.split(" ") for content in lines.values()]
-    held = [Counter(place) for place in zip(*rows)]
-    size = len(held)
-    if 3 * sum(len(place) < len(rows) for place in held) < 2 * size:
+    size, places = len(rows[0]), list(zip(*rows))
+    different = list(map(len, map(set, places)))
+    if 3 * (size - different.count(len(rows))) < 2 * size:
         return {}
+    # Where all lines have the same token, or each has one of its own, nothing needs counting.
+    held = [Counter(place) if 1 < n < len(rows) else None for place, n in zip(places, different)]
+    alone = [len(rows) if n == 1 else 1 for n in different]
+    always = len(rows) + LEVELS[-1]  # above all levels that are looked at
     names: dict[bytes, set[str]] = {}
     for key, tokens in zip(lines, rows):
-        counts = [len(rows) if token == VARIABLE else place[token] for token, place in zip(tokens, held)]
-        own = names[key] = set()
+        counts = [always if token == VARIABLE else n if place is None else place[token] for token, place, n in zip(tokens, held, alone)]
+        own, last = set(), None
+        names[key] = own
         for level in LEVELS:
             # Above all counts the variable tokens alone are constant.
-            name = [token if n >= level or token == VARIABLE else VARIABLE for token, n in zip(tokens, counts)]
-            if 3 * sum(n >= level or token == VARIABLE for token, n in zip(tokens, counts)) < 2 * size:
+            constant = [n >= level for n in counts]
+            if 3 * constant.count(True) < 2 * size:
                 break
-            own.add(" ".join(name))
+            if constant != last:
+                own.add(" ".join([token if shared else VARIABLE for token, shared in zip(tokens, constant)]))
+                last = constant
             if level > len(rows):
                 break
     return names
@@ -308,7 +398,7 @@ def _own_names(blocks: DataFrame, least_documents: int) -> DataFrame:
             own = _Lines(file)
             kind, text = own.texts(least_documents)
             if len(kind):
-                keys, none = _bytes(own.key[kind]), pa.nulls(len(kind), pa.string())
+                keys, none = own.keys.take(pa.array(kind)), pa.nulls(len(kind), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [keys, keys, pa.array(np.full(len(kind), number)), pa.array(text), none], ["name", "key", "block", "text", "template"]
                 )
@@ -337,20 +427,12 @@ def _recurring_lines(blocks: DataFrame, least_documents: int, templates: bool) -
     return named.select("name", "key", "block", "template").join(enough.select("name").hint("merge"), "name").drop("name")
 
 
-def _dropped(file: str, rows: Iterator[tuple]) -> tuple[pa.Table, dict[int, list[int]], dict[tuple[int, int], str | None]]:
-    """A block's texts, its lines to drop by document, and their templates."""
-    found: dict[bytes, set] = {}
-    for _, _, key, template in rows:
-        found.setdefault(key, set()).add(template)
+def _dropped(file: str, keys: pa.ChunkedArray) -> tuple[pa.Table, np.ndarray, np.ndarray, pa.Array]:
+    """A block's texts, and of its lines to drop the document, the place there and the digest."""
     own = _Lines(file)
-    named = [found.get(key) for key in _bytes(own.key).to_pylist()]
-    gone = np.flatnonzero(np.array([own_names is not None for own_names in named], bool)[own.kind])
-    lines: dict[int, list[int]] = {}
-    names: dict[tuple[int, int], set] = {}
-    for doc, line, kind in zip(own.doc[gone].tolist(), own.line[gone].tolist(), own.kind[gone].tolist()):
-        lines.setdefault(doc, []).append(line)
-        names[doc, line] = named[kind]
-    return load_table(f"{file}.texts"), lines, names
+    named = pc.is_in(own.keys, value_set=keys.combine_chunks()).to_numpy(zero_copy_only=False)
+    gone = np.flatnonzero(named[own.kind])
+    return load_table(f"{file}.texts"), own.doc[gone], own.line[gone], own.keys.take(pa.array(own.kind[gone]))
 
 
 def _with_blocks(docs: DataFrame, id_col: str, text_col: str, least_documents: int, leading: int, least_tokens: int, templates: bool):
@@ -370,14 +452,16 @@ def template_lines(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groupby(_rows(batches), itemgetter(0)):
-            texts, lines, names = _dropped(next(rows)[1], rows)
-            places = [(doc, line) for doc, own in lines.items() for line in own]
-            at = pa.array([doc for doc, _ in places], pa.int64())
-            split = {doc: texts.column("text")[doc].as_py().split("\n") for doc in lines}
-            chosen = [min(masked(split[p[0]][p[1]]) if name is None else name for name in names[p]) for p in places]
-            columns = [texts.column(c).combine_chunks().take(at) for c in ("id", "digest")]
-            columns += [pa.array([line for _, line in places], pa.int32()), pa.array(chosen, pa.string())]
+        for _, file, rows in _each_block(batches):
+            names: dict[bytes, set] = {}
+            for key, template in zip(rows.column("key").to_pylist(), rows.column("template").to_pylist()):
+                names.setdefault(key, set()).add(template)
+            texts, docs_at, lines, keys = _dropped(file, rows.column("key"))
+            split = {doc: texts.column("text")[doc].as_py().split("\n") for doc in set(docs_at.tolist())}
+            contents = [masked(split[doc][line]) for doc, line in zip(docs_at.tolist(), lines.tolist())]
+            chosen = [min(content if name is None else name for name in names[key]) for content, key in zip(contents, keys.to_pylist())]
+            columns = [texts.column(c).combine_chunks().take(pa.array(docs_at)) for c in ("id", "digest")]
+            columns += [pa.array(lines), pa.array(chosen, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "line", "template"])
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("digest", T.BinaryType())])
@@ -402,15 +486,15 @@ def drop_recurring_lines(
     names = [id_col, "n_lines", "n_dropped", "clean_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groupby(_rows(batches), itemgetter(0)):
-            table, gone, _ = _dropped(next(rows)[1], rows)
+        for _, file, rows in _each_block(batches):
+            table, docs_at, lines, _ = _dropped(file, rows.column("key"))
             texts = table.column("text").to_pylist()
-            counts = [text.count("\n") + 1 for text in texts]
-            for doc, lines in gone.items():
-                own = set(lines)
+            counts = pc.add(pc.count_substring(table.column("text"), "\n"), 1).cast(pa.int64()).combine_chunks()
+            for doc, gone in groupby(zip(docs_at.tolist(), lines.tolist()), itemgetter(0)):
+                own = {line for _, line in gone}
                 texts[doc] = "\n".join([line for i, line in enumerate(texts[doc].split("\n")) if i not in own])
-            dropped = [len(gone.get(doc, ())) for doc in range(len(texts))]
-            columns = [table.column("id").combine_chunks(), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())]
+            dropped = np.bincount(docs_at, minlength=len(texts))
+            columns = [table.column("id").combine_chunks(), counts, pa.array(dropped), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)])
